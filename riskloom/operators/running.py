@@ -31,8 +31,12 @@ def slice_by_value(df: DataFrame, value: str, descending: bool = False, slices:
     # table as the main query does and Spark reuses it.
     kept = df.filter(F.xxhash64(*df.columns) >= F.lit(-(2**63)))
     bounds = kept.agg(F.percentile_approx(value, steps, 100 * n)).scalar()
-    position = F.size(F.filter(bounds, lambda b: b < F.col(value)))
-    return df.withColumn(SLICE, -position if descending else position)
+    position = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
+    return (
+        df.withColumn("_bounds", bounds)
+        .withColumn(SLICE, -position if descending else position)
+        .drop("_bounds")
+    )
 
 
 def slice_by_hash(df: DataFrame, digest: str, digits: int = 3) -> DataFrame:

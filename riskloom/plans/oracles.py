@@ -321,8 +321,8 @@ def _velocity_statements() -> dict[str, str]:
         "l4_tx_amount_last_24h": amount("24 hours", "tx_amount_last_24h"),
         "l5_unique_merchants_24h": frame("count(DISTINCT event_type)", "24 hours", "unique_merchants_24h"),
         "l6_avg_tx_amount": f"""SELECT event_id, {r('a', 'avg_tx_amount')} FROM (
-            SELECT event_id, avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS a FROM events)""",
+            SELECT event_id, (sum(value::DECIMAL(20, 6)) OVER before)::DOUBLE / nullif(count(*) OVER before, 0) AS a FROM events
+            WINDOW before AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
         "l7_failed_tx_last_hour": frame("count(*) FILTER (WHERE event_type = 'error')", "1 hour", "failed_tx_last_hour"),
         "l8_time_since_last_tx": """SELECT event_id, floor((epoch_us(ts) - epoch_us(lag(ts) OVER (
             PARTITION BY user_id ORDER BY ts, event_id))) / 1e6)::BIGINT AS time_since_last_tx FROM events""",
