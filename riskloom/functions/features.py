@@ -7,8 +7,6 @@ Scripts that renamed the first status to ``pay_1`` pass their own ``pays``.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,30 +45,41 @@ SUMMARY_FEATURES = (
 AGE_POLICIES = ("serving", "training", "scripts", "r")
 
 
-def _total(columns: Sequence[Column]) -> Column:
-    return reduce(add, columns)
+# Sums across columns are written as SQL text: one expression to build instead of dozens.
 
 
-def _present(names: Sequence[str]) -> Column:
-    return _total([F.col(n).isNotNull().cast("int") for n in names])
+def _sum(terms: Sequence[str]) -> str:
+    return "(" + " + ".join(terms) + ")"
+
+
+def _row_sum(names: Sequence[str]) -> str:
+    return _sum([f"coalesce(cast({n} as double), 0.0D)" for n in names])
+
+
+def _present(names: Sequence[str]) -> str:
+    return _sum([f"cast({n} is not null as int)" for n in names])
+
+
+def _row_mean(names: Sequence[str]) -> str:
+    return f"({_row_sum(names)} / nullif({_present(names)}, 0))"
 
 
 def row_sum(names: Sequence[str]) -> Column:
     """Sum across columns, missing entries counting nothing."""
-    return _total([F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names])
+    return F.expr(_row_sum(names))
 
 
 def row_mean(names: Sequence[str]) -> Column:
     """Mean of the entries that are present; null when none is."""
-    return row_sum(names) / F.nullif(_present(names), F.lit(0))
+    return F.expr(_row_mean(names))
 
 
 def row_std(names: Sequence[str], ddof: int) -> Column:
     """Deviation of the entries that are present, dividing by their number less ``ddof``."""
-    mean = row_mean(names)
-    squares = [F.coalesce(F.pow(F.col(n) - mean, F.lit(2.0)), F.lit(0.0)) for n in names]
-    divisor = _present(names) - F.lit(ddof)
-    return F.when(divisor > 0, F.sqrt(_total(squares) / divisor))
+    mean = _row_mean(names)
+    squares = _sum([f"coalesce(pow({n} - {mean}, 2.0D), 0.0D)" for n in names])
+    divisor = f"({_present(names)} - {ddof})"
+    return F.expr(f"case when {divisor} > 0 then sqrt({squares} / {divisor}) end")
 
 
 def avg_pay_delay(pays: Sequence[str] = PAY_COLUMNS) -> Column:
@@ -82,7 +91,7 @@ def max_pay_delay(pays: Sequence[str] = PAY_COLUMNS) -> Column:
 
 
 def months_delayed(pays: Sequence[str] = PAY_COLUMNS) -> Column:
-    return _total([F.coalesce((F.col(n) > 0).cast("int"), F.lit(0)) for n in pays])
+    return F.expr(_sum([f"coalesce(cast({n} > 0 as int), 0)" for n in pays]))
 
 
 def pay_trend(pays: Sequence[str] = PAY_COLUMNS) -> Column:

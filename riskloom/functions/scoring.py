@@ -29,8 +29,8 @@ SCORECARDS = {
 def scorecard(model: str) -> Column:
     """Logistic stand-in for a fitted model, from engineered feature columns."""
     intercept, weights = SCORECARDS[model]
-    z = reduce(add, [F.lit(w) * F.col(n) for n, w in weights.items()], F.lit(intercept))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    z = " + ".join([f"{intercept}D", *[f"{w}D * {name}" for name, w in weights.items()]])
+    return F.expr(f"1.0D / (1.0D + exp(-({z})))")
 
 
 def is_number(score: Column) -> Column:

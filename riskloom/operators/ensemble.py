@@ -75,6 +75,16 @@ def gated_mean(scores: DataFrame, weights: DataFrame, threshold: float) -> DataF
 # --- layout changes -----------------------------------------------------------------------------
 
 
+def to_long(wide: DataFrame, models: Sequence[str], keys: Sequence[str] = ("id",)) -> DataFrame:
+    """One row per id and model, nulls included.
+
+    ``inline`` rather than ``unpivot``: Spark recognises two uses of its result as the same shuffle
+    and runs it once, which it does not with the ``Expand`` node of an unpivot.
+    """
+    pairs = [F.struct(F.lit(m).alias("model"), F.col(m).alias("score")) for m in models]
+    return wide.select(*keys, F.inline(F.array(*pairs)))
+
+
 def to_wide(scores: DataFrame, models: Sequence[str], keys: Sequence[str] = ("id",)) -> DataFrame:
     """One column per model; the fixed list spares Spark a pass to find it."""
     return scores.groupBy(*keys).pivot("model", list(models)).agg(F.max("score"))

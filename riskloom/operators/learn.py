@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.features import FEATURE_NAMES
 from riskloom.operators import evaluation, ranking
+from riskloom.operators.ensemble import to_long
 from riskloom.operators.splits import stratified_folds
 from riskloom.session import ensure_checkpoint_dir
 
@@ -201,9 +202,8 @@ def score_all(df: DataFrame, models: Mapping[str, Model]) -> DataFrame:
 
 
 def long_scores(scored: DataFrame, names: Sequence[str], key: str, label: str = "is_default") -> DataFrame:
-    return scored.select(F.col(key).alias("id"), F.col(label).alias("label"), *names).unpivot(
-        ["id", "label"], list(names), "model", "score"
-    )
+    renamed = scored.select(F.col(key).alias("id"), F.col(label).alias("label"), *names)
+    return to_long(renamed, names, ["id", "label"])
 
 
 # --- judging ------------------------------------------------------------------------------------

@@ -31,7 +31,8 @@ def slice_by_value(df: DataFrame, value: str, descending: bool = False, slices:
     # table as the main query does and Spark reuses it.
     kept = df.filter(F.xxhash64(*df.columns) >= F.lit(-(2**63)))
     bounds = kept.agg(F.percentile_approx(value, steps, 100 * n)).scalar()
-    position = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
+    # Never null, or the join on slices would test each input row for that.
+    position = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(value))), F.lit(0))
     return (
         df.withColumn("_bounds", bounds)
         .withColumn(SLICE, -position if descending else position)

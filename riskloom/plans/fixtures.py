@@ -5,12 +5,13 @@ The same definitions exist as SQL text in :mod:`riskloom.plans.oracles`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.functions import features, scoring
 from riskloom.functions.features import BILL_COLUMNS, PAID_COLUMNS, PAY_COLUMNS
+from riskloom.operators.ensemble import to_long
 from riskloom.params import MODELS, ScoringParams
 from riskloom.plans.scoring import score_transactions
 from riskloom.sources.tables import table
@@ -53,13 +54,12 @@ def credit_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("status"),
     )
 
-    def statement(value: str, m: int) -> Column:
-        return F.max(F.when(F.col("m") == m, F.col(value)))
-
     wide = joined.groupBy("o_custkey").agg(
-        *[statement("status", m).alias(n) for m, n in enumerate(PAY_COLUMNS, 1)],
-        *[statement("bill", m).alias(n) for m, n in enumerate(BILL_COLUMNS, 1)],
-        *[statement("paid", m).alias(n) for m, n in enumerate(PAID_COLUMNS, 1)],
+        *[
+            F.expr(f"max(case when m = {m} then {value} end) as {name}")
+            for value, names in (("status", PAY_COLUMNS), ("bill", BILL_COLUMNS), ("paid", PAID_COLUMNS))
+            for m, name in enumerate(names, 1)
+        ]
     )
     key = F.col("c_custkey")
     profile = (
@@ -72,8 +72,8 @@ def credit_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
             (key % 7).cast("int").alias("education"),
             (key % 4).cast("int").alias("marriage"),
             (key * 7 % 85 + 21).cast("int").alias("age"),
-            *[F.coalesce(n, F.lit(0)).alias(n) for n in PAY_COLUMNS],
-            *[F.coalesce(n, F.lit(0.0)).alias(n) for n in (*BILL_COLUMNS, *PAID_COLUMNS)],
+            *[F.expr(f"coalesce({n}, 0) as {n}") for n in PAY_COLUMNS],
+            *[F.expr(f"coalesce({n}, 0.0D) as {n}") for n in (*BILL_COLUMNS, *PAID_COLUMNS)],
         )
     )
     late = (F.col("pay_0") + F.col("pay_2") >= 5) & (key % 4 != 0)
@@ -112,7 +112,7 @@ def model_scores(spark: SparkSession, sf_dir: str, with_ensemble: bool = False)
         filled = scoring.neutral_if_failed({m: F.col(m) for m in MODELS})
         wide = wide.withColumn("ensemble", scoring.weighted_mean(filled, params.weights))
         names.append("ensemble")
-    return wide.unpivot(["id", "label"], names, "model", "score")
+    return to_long(wide, names, ["id", "label"])
 
 
 def evaluated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,10 +166,10 @@ def transaction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = credit_profile(spark, sf_dir).withColumnRenamed("c_custkey", "ID")
     sent = profile.select("ID", to_transaction_json("ID").alias("plain"))
     plain = F.col("plain")
-    upper = plain
+    upper = "plain"
     for name, alias in FIELD_ALIASES.items():
-        upper = F.replace(upper, F.lit(f'"{name}":'), F.lit(f'"{alias}":'))
-    spelled = F.when(F.col("ID") % 2 == 0, upper).otherwise(plain)
+        upper = f"""replace({upper}, '"{name}":', '"{alias}":')"""
+    spelled = F.when(F.col("ID") % 2 == 0, F.expr(upper)).otherwise(plain)
     kind = F.col("ID") % 50
     broken = (
         F.when(kind == 0, F.expr("substring(spelled, 1, length(spelled) - 10)"))

@@ -388,10 +388,9 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
 def _business(spark: SparkSession, sf: str) -> DataFrame:
     scores = fx.labelled_scores_wide(spark, sf)
     columns = {**wide(), "ensemble": scoring.weighted_mean(filled(), WEIGHTS)}
-    long = (
-        scores.withColumns({m: F.round(F.coalesce(c, F.lit(0.5)), 8) for m, c in columns.items()})
-        .withColumnRenamed("limit_bal", "amount")
-        .unpivot(["id", "label", "amount"], list(columns), "model", "score")
+    rounded = scores.withColumns({m: F.round(F.coalesce(c, F.lit(0.5)), 8) for m, c in columns.items()})
+    long = ensemble.to_long(
+        rounded.withColumnRenamed("limit_bal", "amount"), list(columns), ["id", "label", "amount"]
     )
     business = evaluation.business_metrics(long)
     return business.select(
@@ -457,7 +456,7 @@ def _parameter_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 def _append_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     predicted = _predicted(spark, sf).withColumn("id", key())
-    models = predicted.unpivot("id", list(MODELS), "model", "score")
+    models = ensemble.to_long(predicted, MODELS)
     combined = predicted.select("id", F.lit("ensemble").alias("model"), F.col("risk_score").alias("score"))
     return tidy(models.unionByName(combined))
 

@@ -43,22 +43,17 @@ def _once(df: DataFrame, name: str, column: Column) -> DataFrame:
 
 def _value(name: str, sql_type: str) -> Column:
     spellings = [f"try_variant_get(doc, '$[0].{s}', '{sql_type}')" for s in (name, FIELD_ALIASES[name])]
-    return F.expr(f"coalesce({', '.join(spellings)})")
+    return F.expr(f"coalesce({', '.join(spellings)}) as {name}")
 
 
 def _field_kinds() -> Column:
     """Name, alias and expected kind of each required field, in wire order."""
     kinds = dict.fromkeys(INTEGER_FIELDS, "int") | dict.fromkeys(DOUBLE_FIELDS, "double")
-    return F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(alias).alias("alias"),
-                F.lit(kinds.get(name, "string")).alias("kind"),
-            )
-            for name, alias in FIELD_ALIASES.items()
-        ]
-    )
+    fields = [
+        f"named_struct('name', '{name}', 'alias', '{alias}', 'kind', '{kinds.get(name, 'string')}')"
+        for name, alias in FIELD_ALIASES.items()
+    ]
+    return F.expr(f"array({', '.join(fields)})")
 
 
 def _is_valid(field: Column) -> Column:
@@ -117,9 +112,9 @@ def decode_transactions(messages: DataFrame, column: str = "value") -> DataFrame
     names = {*FIELD_ALIASES, "timestamp"}
     return opened.select(
         *[F.col(c) for c in messages.columns if c.lower() not in names],
-        _value("transaction_id", "string").alias("transaction_id"),
+        _value("transaction_id", "string"),
         *[
-            _value(n, "int" if n in INTEGER_FIELDS else "double").alias(n)
+            _value(n, "int" if n in INTEGER_FIELDS else "double")
             for n in FIELD_ALIASES
             if n != "transaction_id"
         ],
@@ -142,7 +137,7 @@ def wire_fields(key: str) -> list[Column]:
     return [
         F.col(key).cast("long").cast("string").alias("transaction_id"),
         *[
-            F.col(n).cast("int" if n in INTEGER_FIELDS else "double").alias(n)
+            F.expr(f"cast({n} as {'int' if n in INTEGER_FIELDS else 'double'}) as {n}")
             for n in FIELD_ALIASES
             if n != "transaction_id"
         ],
