@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskloom.session import ensure_checkpoint_dir
+
 EULER = 0.5772156649015329
 NODES = "tree int, node int, feature int, split double, left int, right int, path double"
 POOL_TREES = 64
@@ -124,7 +126,9 @@ def fit(
         return pd.DataFrame([{"tree": tree, **n.__dict__} for n in grown])
 
     samples = draw_samples(normal, key, features, trees, sample, seed)
-    nodes = samples.groupBy("tree").applyInPandas(grow, NODES)
+    # Kept once: growing again after a lost task would be wasteful, not different.
+    ensure_checkpoint_dir(df.sparkSession)
+    nodes = samples.groupBy("tree").applyInPandas(grow, NODES).checkpoint()
     return IsolationForest(nodes, tuple(features), sample)
 
 

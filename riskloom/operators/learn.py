@@ -148,10 +148,9 @@ def classifier(slot: Slot, label: str = "is_default", validation: str | None = N
     common = {"labelCol": label, "featuresCol": "features", "weightCol": WEIGHT, "seed": SEED}
     if slot.kind == "forest":
         return RandomForestClassifier(**common, **options)
-    learner = GBTClassifier(**common, **options, checkpointInterval=10, cacheNodeIds=True)
     if validation:
-        learner = learner.setValidationIndicatorCol(validation).setValidationTol(0.001)
-    return learner
+        common |= {"validationIndicatorCol": validation, "validationTol": 0.001}
+    return GBTClassifier(**common, **options, checkpointInterval=10, cacheNodeIds=True)
 
 
 def fit_slot(

@@ -6,6 +6,7 @@ The learners run with few rounds here so that the catalogue stays quick; the def
 
 from __future__ import annotations
 
+from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,8 +53,8 @@ def _auc_row(scored: DataFrame, name: str) -> DataFrame:
 def _fit_and_score(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         rows = _assembled(spark, sf)
-        model = learn.fit_slot(rows, learn.SLOTS[name], LABEL, **QUICK[name])
-        return _auc_row(learn.score(rows, model, name), name)
+        models = learn.fit_all(rows, {name: learn.SLOTS[name]}, LABEL, None, QUICK)
+        return _auc_row(learn.score_all(rows, models), name)
 
     return run
 
@@ -68,8 +69,9 @@ def _batch_scores(spark: SparkSession, sf: str) -> DataFrame:
 def _early_stopping(spark: SparkSession, sf: str) -> DataFrame:
     """Rounds asked for and rounds kept once the validation rows stop improving."""
     train, _ = training.prepare(*_parts(spark, sf), KEY, LABEL)
-    model = learn.fit_slot(train, learn.SLOTS["lightgbm"], LABEL, "is_validation", maxIter=15, maxDepth=3)
-    kept = F.lit(model.getNumTrees)
+    rounds = {"lightgbm": {"maxIter": 15, "maxDepth": 3}}
+    models = learn.fit_all(train, {"lightgbm": learn.SLOTS["lightgbm"]}, LABEL, "is_validation", rounds)
+    kept = F.lit(models["lightgbm"].getNumTrees)
     return spark.range(1).select(F.lit(15).alias("rounds_asked"), (kept <= 15).alias("stopped_in_time"))
 
 
@@ -110,13 +112,18 @@ def _validation_auc(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(learn.validation_auc(learn.score_all(held_out, models), list(models), KEY, LABEL))
 
 
+def _forest(spark: SparkSession, sf: str) -> Model:
+    slots = {"random_forest": learn.SLOTS["random_forest"]}
+    return learn.fit_all(_assembled(spark, sf), slots, LABEL, None, QUICK)["random_forest"]
+
+
 def _importances(spark: SparkSession, sf: str) -> DataFrame:
-    model = learn.fit_slot(_assembled(spark, sf), learn.SLOTS["random_forest"], LABEL, **QUICK["random_forest"])
+    model = _forest(spark, sf)
     return tidy(learn.importances(model).unionByName(learn.uniform_importances(spark)))
 
 
 def _top_importances(spark: SparkSession, sf: str) -> DataFrame:
-    model = learn.fit_slot(_assembled(spark, sf), learn.SLOTS["random_forest"], LABEL, **QUICK["random_forest"])
+    model = _forest(spark, sf)
     return tidy(ranking.top_importances(learn.importances(model), 20))
 
 
