@@ -20,7 +20,7 @@ NUMERIC = (*RAW_FEATURES, *ENGINEERED_FEATURES)
 
 def feature_matrix(featured: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The 36 feature columns as doubles in their fixed order, after the ``keep`` columns."""
-    return featured.select(*keep, *[F.col(n).cast("double").alias(n) for n in FEATURE_NAMES])
+    return featured.selectExpr(*keep, *[f"cast({n} as double) as {n}" for n in FEATURE_NAMES])
 
 
 def present(df: DataFrame, names: Sequence[str]) -> list[str]:
@@ -28,22 +28,21 @@ def present(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if n in have]
 
 
+def _filled(column: str) -> str:
+    return f"coalesce(nanvl(cast({column} as double), 0.0D), 0.0D)"
+
+
 def fit_scaler(df: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFrame:
     """Mean and population deviation of every numeric column, as one row of structs.
 
     Deviation 0 is stored as 1, so a constant column scales to 0.
     """
-    filled = {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in columns}
-    deviation = {c: F.stddev_pop(v) for c, v in filled.items()}
-    return df.agg(
-        *[
-            F.struct(
-                F.avg(filled[c]).alias("mean"),
-                F.when(deviation[c] > 0, deviation[c]).otherwise(1.0).alias("std"),
-            ).alias(c)
-            for c in columns
-        ]
-    )
+    statistics = [
+        f"named_struct('mean', avg({_filled(c)}), 'std', "
+        f"case when stddev_pop({_filled(c)}) > 0 then stddev_pop({_filled(c)}) else 1.0D end) as {c}"
+        for c in columns
+    ]
+    return df.agg(*map(F.expr, statistics))
 
 
 def apply_scaler(
@@ -57,19 +56,9 @@ def apply_scaler(
     The one-row scaler enters as a scalar subquery: worked out once, then constants in every task.
     """
     stats = scaler.select(F.struct(*scaler.columns)).scalar()
-    with_stats = df.withColumn("_scaler", stats)
-    filled = {
-        c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0))
-        for c in (*scaler.columns, *present(df, categorical))
-    }
-    return with_stats.select(
-        *keep,
-        *[
-            ((filled[c] - F.col(f"_scaler.{c}.mean")) / F.col(f"_scaler.{c}.std")).alias(c)
-            for c in scaler.columns
-        ],
-        *[filled[c].alias(c) for c in present(df, categorical)],
-    )
+    scaled = [f"({_filled(c)} - _scaler.{c}.mean) / _scaler.{c}.std as {c}" for c in scaler.columns]
+    plain = [f"{_filled(c)} as {c}" for c in present(df, categorical)]
+    return df.withColumn("_scaler", stats).selectExpr(*keep, *scaled, *plain)
 
 
 def prepare_train_test(

@@ -108,8 +108,8 @@ def _best_trials(spark: SparkSession, sf: str) -> DataFrame:
 def _validation_auc(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = training.prepare(*_parts(spark, sf), KEY, LABEL)
     models = learn.fit_all(train, learn.SLOTS, LABEL, "is_validation", QUICK)
-    held_out = train.filter("is_validation")
-    return tidy(learn.validation_auc(learn.score_all(held_out, models), list(models), KEY, LABEL))
+    held_out = learn.score_all(train.filter("is_validation"), models)
+    return tidy(learn.validation_auc(held_out.select(KEY, LABEL, *models).checkpoint(), list(models), KEY, LABEL))
 
 
 def _forest(spark: SparkSession, sf: str) -> Model:

@@ -46,8 +46,8 @@ PROFILE = ("limit_bal", "sex", "education", "marriage", "age", *PAY_COLUMNS, *BI
 
 def tidy(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every double column."""
-    return df.select(
-        *[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+    return df.selectExpr(
+        *[f"round(`{c}`, {places}) as `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes]
     )
 
 
@@ -338,8 +338,13 @@ def _flat_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def scoring_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of all profiles, sent as JSON messages."""
+    return score_messages(fx.transaction_json(spark, sf))
+
+
+def score_messages(messages: DataFrame) -> DataFrame:
     """JSON messages in, alerts out: decode, featurise, score, decide, explain."""
-    accepted = wire.accepted(_decoded(spark, sf))
+    accepted = wire.accepted(wire.decode_transactions(messages))
     keyed = accepted.withColumn("c_custkey", F.col("transaction_id").cast("long"))
     scored = fx.with_scorecards(features.add_features(keyed))
     return score_transactions(scored, MODELS, PARAMS)

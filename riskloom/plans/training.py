@@ -57,19 +57,20 @@ def train_models(
     overrides: Mapping[str, Mapping[str, object]] | None = None,
     anomaly_trees: int = 200,
     threshold: float = 0.5,
-    seed_models: Mapping[str, Model] | None = None,
 ) -> Trained:
     """Fit every slot and the isolation forest, score the test rows, and rank by AUC."""
     train_rows, test_rows = prepare(train, test, key, label)
     kept = train_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    models = seed_models or learn.fit_all(kept, slots, label, "is_validation", overrides)
+    models = learn.fit_all(kept, slots, label, "is_validation", overrides)
     scored, names, forest = learn.score_all(test_rows, models), list(models), None
     if anomaly_trees:
         forest, scored = anomaly_scores(kept, scored, key, label, anomaly_trees)
         names.append("isolation_forest")
+    # Scores are kept once; evaluation reads them several times and the trees are dear to walk.
+    scores = scored.select(key, label, *names).checkpoint()
     kept.unpersist()
-    comparison = learn.evaluate_and_compare(scored, names, key, label, threshold)
-    return Trained(models, forest, scored.select(key, label, *names), comparison)
+    comparison = learn.evaluate_and_compare(scores, names, key, label, threshold)
+    return Trained(models, forest, scores, comparison)
 
 
 def tuned_models(
@@ -91,10 +92,10 @@ def tuned_models(
     for name in names:
         models[name], _, tried = learn.search(train_rows, name, n_iter, folds, key, label, grids[name])
         trials = tried if trials is None else trials.unionByName(tried)
-    scored = learn.score_all(test_rows, models)
-    long = learn.long_scores(scored, list(models), key, label)
-    comparison = learn.evaluate_and_compare(scored, list(models), key, label)
-    trained = Trained(models, None, scored.select(key, label, *models), comparison)
+    scores = learn.score_all(test_rows, models).select(key, label, *models).checkpoint()
+    long = learn.long_scores(scores, list(models), key, label)
+    comparison = learn.evaluate_and_compare(scores, list(models), key, label)
+    trained = Trained(models, None, scores, comparison)
     return trained, trials, evaluation.default_and_optimal(long)
 
 
