@@ -16,7 +16,7 @@ from riskloom.params import DEFAULT_WEIGHT, NEUTRAL_SCORE
 
 
 def parameter_table(spark: SparkSession, values: Mapping[str, float], value: str) -> DataFrame:
-    """A parameter map as rows ``model, <value>``: a handful of literals, safe to broadcast."""
+    """A parameter map as rows ``model, <value>``: a few literals, which Spark broadcasts by itself."""
     entries = [F.struct(F.lit(m).alias("model"), F.lit(float(v)).alias(value)) for m, v in values.items()]
     empty = F.array().cast(f"array<struct<model:string,{value}:double>>")
     return spark.range(1).select(F.inline(F.array(*entries) if entries else empty))
@@ -31,7 +31,7 @@ def override(table: DataFrame, model: str, value: float) -> DataFrame:
 
 def lookup(df: DataFrame, table: DataFrame, value: str, default: float) -> DataFrame:
     """Attach a model's parameter, the default where the table has none."""
-    return df.join(F.broadcast(table), "model", "left").fillna(default, [value])
+    return df.join(table, "model", "left").fillna(default, [value])
 
 
 def _mean_over(df: DataFrame, weight: Column) -> Column:
@@ -50,7 +50,7 @@ def weighted_mean(
 
 def known_weight_mean(scores: DataFrame, weights: DataFrame) -> DataFrame:
     """Offline variant: models without a weight are skipped."""
-    known = scores.join(F.broadcast(weights), "model")
+    known = scores.join(weights, "model")
     return known.groupBy("id").agg(_mean_over(known, F.col("weight")).alias("ensemble"))
 
 

@@ -69,17 +69,30 @@ def recent_history(
 ) -> DataFrame:
     """The rows a bounded history still holds after all rows were pushed in ``order``.
 
-    At most ``cap`` rows per key can survive, and Spark trims to that many per task before the
-    shuffle, so the window sees a bounded group however many rows there were.
+    ``order`` starts with a timestamp. Rows are first counted per minute; only the latest minutes
+    that together hold the cap can matter, so the window is left with little more than the cap per
+    key, however many rows and tasks there were.
     """
     cap = HISTORY_CAPS[kind]
     group = list(keys) or ["_all"]
-    data = df if keys else df.withColumn("_all", F.lit(0))
+    data = (df if keys else df.withColumn("_all", F.lit(0))).withColumn(
+        "_minute", F.date_trunc("minute", F.col(order[0]).cast("timestamp"))
+    )
+    minutes = data.groupBy(*group, "_minute").agg(F.count("*").alias("n"))
+    later = W.partitionBy(*group).orderBy(F.desc("_minute")).rowsBetween(W.unboundedPreceding, -1)
+    reach = (
+        minutes.withColumn("_later", F.coalesce(F.sum("n").over(later), F.lit(0)))
+        .groupBy(*group)
+        .agg(
+            F.sum("n").alias("_pushed"),
+            F.min(F.when(F.col("_later") < cap, F.col("_minute"))).alias("_from"),
+        )
+    )
     newest = W.partitionBy(*group).orderBy(*[F.desc(c) for c in order])
-    latest = data.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= cap)
-    sizes = data.groupBy(*group).agg(F.count("*").alias("_pushed"))
+    recent = data.join(reach, group).filter(F.col("_minute") >= F.col("_from"))
     return (
-        latest.join(sizes, group)
+        recent.withColumn("_age", F.row_number().over(newest))
+        .filter(F.col("_age") <= cap)
         .filter(F.col("_age") <= retained(F.col("_pushed"), cap))
         .select(*df.columns)
     )
