@@ -166,6 +166,11 @@ def fit_slot(
     return classifier(slot, label, validation, **overrides).fit(weighted.select(*needed))
 
 
+def evenly_kept(data: DataFrame) -> DataFrame:
+    """Persisted rows, rebalanced so that neither tiny nor swollen partitions are passed over again."""
+    return data.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_all(
     data: DataFrame,
     slots: Mapping[str, Slot] = SLOTS,
@@ -173,17 +178,31 @@ def fit_all(
     validation: str | None = None,
     overrides: Mapping[str, Mapping[str, object]] | None = None,
 ) -> dict[str, Model]:
-    """Fit every slot on the same rows. Forests take no part in early stopping."""
-    kept = data.persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = {}
+    """Fit every slot on the same rows. Forests take no part in early stopping.
+
+    The rows are kept in partitions of even, advised size: fitting passes over them many times.
+    """
+    kept = evenly_kept(data)
     try:
-        for name, slot in slots.items():
-            rows, flag = kept, validation
-            if slot.kind == "forest" and validation:
-                rows, flag = kept.filter(~F.col(validation)), None
-            fitted[name] = fit_slot(rows, slot, label, flag, **(overrides or {}).get(name, {}))
+        return fit_kept(kept, slots, label, validation, overrides)
     finally:
         kept.unpersist()
+
+
+def fit_kept(
+    kept: DataFrame,
+    slots: Mapping[str, Slot],
+    label: str = "is_default",
+    validation: str | None = None,
+    overrides: Mapping[str, Mapping[str, object]] | None = None,
+) -> dict[str, Model]:
+    """:func:`fit_all` on rows the caller has persisted."""
+    fitted = {}
+    for name, slot in slots.items():
+        rows, flag = kept, validation
+        if slot.kind == "forest" and validation:
+            rows, flag = kept.filter(~F.col(validation)), None
+        fitted[name] = fit_slot(rows, slot, label, flag, **(overrides or {}).get(name, {}))
     return fitted
 
 
@@ -261,7 +280,7 @@ def search(
     """
     slot, grid = SLOTS[name], grid or GRIDS[name]
     spark = data.sparkSession
-    folded = stratified_folds(data, key, label, folds, str(SEED)).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = evenly_kept(stratified_folds(data, key, label, folds, str(SEED)))
     trials = []
     try:
         for number, point in enumerate(draw(grid, n_iter)):

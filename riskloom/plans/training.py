@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,8 +59,8 @@ def train_models(
 ) -> Trained:
     """Fit every slot and the isolation forest, score the test rows, and rank by AUC."""
     train_rows, test_rows = prepare(train, test, key, label)
-    kept = train_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    models = learn.fit_all(kept, slots, label, "is_validation", overrides)
+    kept = learn.evenly_kept(train_rows)
+    models = learn.fit_kept(kept, slots, label, "is_validation", overrides)
     scored, names, forest = learn.score_all(test_rows, models), list(models), None
     if anomaly_trees:
         forest, scored = anomaly_scores(kept, scored, key, label, anomaly_trees)
