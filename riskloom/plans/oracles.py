@@ -355,7 +355,6 @@ def _scoring_statements() -> dict[str, str]:
     def one(expression: str, name: str) -> str:
         return s(f"SELECT c_custkey AS id, {r(expression, name)} FROM scored")
 
-    filled = ", ".join(f"coalesce({m}, 0.5e0)" for m in MODELS)
     listed_fill = "[" + ", ".join(f"coalesce({m}, 0.5e0)" for m in sorted(MODELS)) + "]"
     primary = over("predicted", f"""
         SELECT c_custkey AS id, {r('coalesce(lightgbm, risk_score)', 'risk_score')},
@@ -398,7 +397,7 @@ def _scoring_statements() -> dict[str, str]:
             SELECT c_custkey AS id, (-utilization_ratio < (SELECT quantile_cont(-utilization_ratio, 0.1e0) FROM featured
                                      WHERE is_default = 0))::INTEGER AS is_anomaly FROM featured"""),
         "d24_scoring_job": over("alerts", f"SELECT {_ALERT_COLUMNS} FROM alerts WHERE c_custkey % 50 > 4"),
-    } | {"_unused": filled}
+    }
 
 
 def _latency(keys: str, names: dict[str, str], source: str = "timings") -> str:
@@ -662,7 +661,6 @@ def _table_statements() -> dict[str, str]:
 
 def _stream_statements() -> dict[str, str]:
     scoring = _scoring_statements()
-    metric = _metric_statements()
     windows = f"""
         SELECT (epoch_us(time_bucket(INTERVAL '30 seconds', ts)) // 1000000)::BIGINT AS window_second, count(*) AS processed,
                count(*) FILTER (WHERE value / 500e0 >= 0.56e0) AS alerts, {r('avg(value / 500e0)', 'mean_score')}
@@ -679,7 +677,7 @@ def _stream_statements() -> dict[str, str]:
         "k5_progress": over("predicted", f"SELECT count(*) AS processed FROM {good}"),
         "k6_restarted_stream": scoring["d24_scoring_job"],
         "k7_replayed_table": "SELECT count(*) AS n, count(DISTINCT c_custkey) AS n_distinct FROM customer",
-    } if metric else {}
+    }
 
 
 def statements() -> dict[str, str]:
@@ -690,5 +688,4 @@ def statements() -> dict[str, str]:
         _metric_statements, _evaluation_statements, _ranking_statements, _table_statements, _stream_statements,
     ):
         out |= part()
-    out.pop("_unused", None)
     return out
