@@ -4,6 +4,7 @@ By default one query per family; set TEST_ALL=1 for all of them.
 """
 
 import os
+import re
 
 import pytest
 
@@ -37,7 +38,7 @@ def test_entry(spark):
 
 
 def test_catalogue_covers_the_inventory():
-    ids = {n.split("_")[0] for n in entry_points.queries()}
+    ids = {n.split("_")[0] for n in entry_points.queries() if re.match(r"[a-l]\d", n)}
     inventory = {"A": 15, "B": 9, "C": 17, "D": 24, "E": 26, "F": 11, "G": 5, "H": 4, "I": 4, "J": 13, "K": 7, "L": 10}
     expected = {f"{letter.lower()}{i}" for letter, n in inventory.items() for i in range(1, n + 1)}
     assert ids == expected
