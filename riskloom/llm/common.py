@@ -65,3 +65,11 @@ def blocks(lengths: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int,
         held += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column of ``taken`` has it."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

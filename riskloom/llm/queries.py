@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import simhash
+from riskloom.llm import mixing, secret_scan, simhash, token_count
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_simhash": simhash.query,
+        "op7_token_counts": token_count.query,
+        "op9_mixing": mixing.query,
+        "op10_secrets": secret_scan.query,
     }
 
 
