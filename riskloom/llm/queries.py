@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import fingerprint, mixing, secret_scan, simhash, token_count
+from riskloom.llm import fingerprint, mixing, pieces, secret_scan, simhash, token_count
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": fingerprint.query,
         "op4_simhash": simhash.query,
+        "op5_pieces": pieces.query,
         "op7_token_counts": token_count.query,
         "op9_mixing": mixing.query,
         "op10_secrets": secret_scan.query,
