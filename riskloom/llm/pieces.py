@@ -29,6 +29,8 @@ MARK = "▁"
 KEPT_WORDS = 1_000_000
 #: Characters that are indexed at a time.
 INDEXED = 1_000_000
+#: Characters that may precede a point inside pieces.
+MOST_BEFORE = 16
 #: Pairs of pieces whose verdict a task keeps.
 KEPT_PAIRS = 2_000_000
 
@@ -65,20 +67,24 @@ def _bisect(codes: np.ndarray, order: np.ndarray, low: np.ndarray, high: np.ndar
 def splitter(pieces: list[str]) -> re.Pattern:
     """Finds the words of a text: stretches that no piece goes beyond, with marks for spaces.
 
-    A word begins at a run of marks, at a line feed, and at punctuation that follows something else,
-    as far as the pieces allow: punctuation is what never follows anything but its like or a mark.
+    A word begins at a run of marks, at a line feed, and at an ASCII point that follows a solid
+    character. Points are what few characters precede inside pieces; those few are not solid.
     """
     if any(MARK in x.lstrip(MARK) or "\n" in x for x in pieces):
         return re.compile(r"(?s).+")
-    points = {c for x in pieces for c in x if not c.isalnum()} - {MARK}
-    while True:
-        joined = {b for x in pieces for a, b in zip(x, x[1:]) if b in points and a not in points and a != MARK}
-        if not joined:
-            break
-        points -= joined
-    point = "".join(map(re.escape, sorted(points)))
-    other = f"[^{MARK}\n{point}]"
-    return re.compile(f"{MARK}+[{point}]*{other}*|[{point}]+{other}*|{other}+|\n" if points else f"{MARK}*{other}+|{MARK}+|\n")
+    before: dict[str, set[str]] = {}
+    for piece in pieces:
+        for a, b in zip(piece, piece[1:]):
+            before.setdefault(b, set()).add(a)
+    points = {c for c in map(chr, range(33, 127)) if not c.isalnum()}
+    while wide := {p for p in points if len(before.get(p, set()) - points - {MARK}) > MOST_BEFORE}:
+        points -= wide
+    if not points:
+        return re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+    listed = lambda chars: "".join(map(re.escape, sorted(chars)))
+    loose = set().union(*(before.get(p, set()) for p in points)) | points | {MARK, "\n"}
+    solid, point, other = f"[^{listed(loose)}]", f"[{listed(points)}]", f"[^{MARK}\n{listed(points)}]"
+    return re.compile(f"{MARK}*(?:{point}|{other})(?:{other}+|(?<!{solid}){point})*|{MARK}+|\n")
 
 
 class Pieces:
