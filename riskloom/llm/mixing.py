@@ -18,7 +18,7 @@ SEED = 7
 #: Words of a block; a source misses its target by about half of one.
 BLOCK_WORDS = 64
 #: Documents of a shard on average; the running total over one is the largest ordered group.
-SHARD_DOCS = 20_000
+SHARD_DOCS = 4_000
 #: A source is repeated so often at most.
 MOST_PASSES = 3
 #: Weights of the sources in turn.
