@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import fingerprint, mixing, pieces, quality_rules, secret_scan, simhash, token_count
+from riskloom.llm import fingerprint, mixing, pieces, quality_rules, secret_scan, simhash, token_count, toxicity
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_fingerprints": fingerprint.query,
         "op4_simhash": simhash.query,
         "op5_pieces": pieces.query,
+        "op6_toxicity": toxicity.query,
         "op7_token_counts": token_count.query,
         "op8_quality_rules": quality_rules.query,
         "op9_mixing": mixing.query,
