@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from riskloom.session import ensure_checkpoint_dir, ship_package
 
@@ -73,3 +74,8 @@ def fresh(name: str, taken: list[str]) -> str:
     while name.lower() in lower:
         name += "_"
     return name
+
+
+def with_field(df: DataFrame, name: str, kind: DataType) -> StructType:
+    """The schema of ``df`` and one more column."""
+    return StructType([*df.schema.fields, StructField(name, kind)])

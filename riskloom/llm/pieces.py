@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from riskloom.llm.common import map_arrow, table
+from riskloom.llm.common import map_arrow, table, with_field
 
 MODEL = "piece_bpe_32k.model"
 #: The mark that stands for a space.
@@ -296,7 +297,7 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None, ids: s
             column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, ids])
 
-    return map_arrow(docs, run, docs.schema.add(ids, "array<int>"))
+    return map_arrow(docs, run, with_field(docs, ids, ArrayType(IntegerType())))
 
 
 def decode(docs: DataFrame, ids: str = "ids", model: str | None = None, text: str = "decoded") -> DataFrame:
@@ -309,7 +310,7 @@ def decode(docs: DataFrame, ids: str = "ids", model: str | None = None, text: st
             texts = [None if x is None else coder.decode(x) for x in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
 
-    return map_arrow(docs, run, docs.schema.add(text, "string"))
+    return map_arrow(docs, run, with_field(docs, text, StringType()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import fingerprint, mixing, pieces, quality_rules, secret_scan, simhash, token_count, toxicity
+from riskloom.llm import fingerprint, mixing, pieces, quality_rules, secret_scan, simhash, token_count, toxicity, wrappers
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": fingerprint.query,
+        "op3_html": wrappers.query,
         "op4_simhash": simhash.query,
         "op5_pieces": pieces.query,
         "op6_toxicity": toxicity.query,

@@ -22,8 +22,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from riskloom.llm.common import map_arrow, table
+from riskloom.llm.common import fresh, map_arrow, table, with_field
 
 #: Bounds of the labelled sample that the model is fitted on; rows are drawn by a hash of their id.
 TOXIC_ROWS = 3000
@@ -233,7 +234,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
             counts = np.array([gains.counts(t.as_py() or "") for t in batch.column(place)]).reshape(-1, MOST_GAIN + 1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(counts))], [*batch.schema.names, into])
 
-    return map_arrow(docs, run, docs.schema.add(into, "double"))
+    return map_arrow(docs, run, with_field(docs, into, DoubleType()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -244,7 +245,5 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The documents whose score is below the cut."""
-    from riskloom.llm.common import fresh
-
     into = fresh("score", docs.columns)
     return score(docs, model, into=into).filter(F.col(into) < CUT).select(docs.columns)
