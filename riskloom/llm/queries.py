@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import fingerprint, mixing, pieces, quality_rules, secret_scan, simhash, token_count, toxicity, wrappers
+from riskloom.llm import fingerprint, licences, mixing, pieces, quality_rules, secret_scan, simhash, token_count, toxicity, wrappers
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run  # at the repository's top, beside the package
+
+    return run(spark, sf_dir)
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": fingerprint.query,
+        "op2_licences": licences.query,
         "op3_html": wrappers.query,
         "op4_simhash": simhash.query,
         "op5_pieces": pieces.query,
@@ -20,8 +27,9 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules.query,
         "op9_mixing": mixing.query,
         "op10_secrets": secret_scan.query,
+        "pipeline": pipeline,
     }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_licences": licences.sql()}

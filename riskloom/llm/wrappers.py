@@ -62,7 +62,7 @@ MOST_CHILDREN = 32
 #: Templates of one host that a task merges at a time.
 FAN_IN = 64
 #: A child takes over from its parent as the article's place if it holds this share of its varying text.
-HOLDS = 0.5
+HOLDS = 0.6
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s>/]*)[^>]*>|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(class|id|role|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
