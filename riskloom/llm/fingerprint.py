@@ -212,7 +212,7 @@ def in_order(docs: DataFrame, slices_per_task: int = 4) -> DataFrame:
     place = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
     ids = docs.select("doc_id").withColumn("place", place)
     cuts = ids.approxQuantile("place", [i / steps for i in range(1, steps)], 1 / (4 * steps))
-    inner = sorted({c for c in cuts if np.isfinite(c)})
+    inner = sorted({c for c in cuts if np.isfinite(c)}) or [0.0]
     slicer = Bucketizer(inputCol="place", outputCol="slice", splits=[float("-inf"), *inner, float("inf")], handleInvalid="keep")
     sliced = lambda df: slicer.transform(df).withColumn("slice", F.col("slice").cast("int")).drop("place")
     # A row per slice: the number of slices follows the session's tasks, not the rows.

@@ -46,11 +46,12 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
         .withColumn("full", F.coalesce(F.sum("limit").over(below), F.lit(0)))
         .withColumn("rest", F.sum("weight").over(order.rowsBetween(W.currentRow, W.unboundedFollowing)))
         .withColumn("level", (F.col("total") - F.col("full")) / F.col("rest"))
-        # The first source whose limit is above the level sets it for itself and all after it.
+        # The first source whose limit is above the level sets it for itself and all after it; of
+        # sources with equal limits by weight the first has the highest level.
         .withColumn("open", F.col("limit") >= F.col("level") * F.col("weight"))
-        .withColumn("common", F.min(F.when(F.col("open"), F.struct(F.col("limit") / F.col("weight"), F.col("level")))).over(every))
+        .withColumn("common", F.min(F.when(F.col("open"), F.struct(F.col("limit") / F.col("weight"), (-F.col("level")).alias("level")))).over(every))
     )
-    target = F.least(F.col("limit").cast("double"), F.col("common")["level"] * F.col("weight"))
+    target = F.least(F.col("limit").cast("double"), -F.col("common")["level"] * F.col("weight"))
     return levels.select("source", "docs", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
