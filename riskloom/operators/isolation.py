@@ -17,11 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import ensure_checkpoint_dir, ship_package
 
 EULER = 0.5772156649015329
 NODES = "tree int, node int, feature int, split double, left int, right int, path double"
-POOL_TREES = 64
 
 
 def average_path(n: int) -> float:
@@ -50,24 +49,26 @@ class IsolationForest:
         return IsolationForest(saved.drop("sample"), tuple(features), saved.agg(F.max("sample")).first()[0])
 
 
-def draw_samples(df: DataFrame, key: str, features: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
-    """``sample`` uniform rows for each tree, without replacement within a tree.
+def draw_samples(
+    df: DataFrame, key: str, features: Sequence[str], trees: int, sample: int, seed: int, rows: int
+) -> DataFrame:
+    """``sample`` uniform rows of all ``rows`` for each tree, without replacement within a tree.
 
-    Rows are first thinned by hash to a pool of about ``64 * sample``; the trees draw from it by
-    ranking a hash of tree and key. Spark keeps ``sample`` rows per tree and task on the way.
+    A hash of tree and key decides which trees may take a row; a little more than ``sample`` rows
+    pass per tree, and the smallest hashes of those are its sample. So every tree draws from the
+    whole table in one pass, and only rows that pass are moved.
     """
-    hashed = F.xxhash64(F.lit(seed), F.col(key))
-    size = df.agg(F.count("*").alias("n")).scalar()
-    # The share of all hash values to keep; one or more keeps every row.
-    share = F.lit(float(POOL_TREES * sample)) / size
-    unit = F.pmod(hashed, F.lit(2**40)) / F.lit(float(2**40))
-    pool = df.filter(unit < share).select(
-        F.col(key).alias("_key"), F.array(*[F.col(c).cast("double") for c in features]).alias("values")
-    )
-    drawn = pool.select("_key", "values", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    by_hash = W.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed + 1), "tree", "_key"), "_key")
-    ranked = drawn.withColumn("_rank", F.row_number().over(by_hash)).filter(F.col("_rank") <= sample)
-    return ranked.select("tree", "_rank", "values")
+    enough = sample + 8 * math.sqrt(sample) + 16
+    share = min(1.0, enough / max(rows, 1))
+    drawn = df.select(
+        F.col(key).alias("_key"),
+        F.array(*[F.col(c).cast("double") for c in features]).alias("values"),
+        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
+    ).withColumn("_draw", F.xxhash64(F.lit(seed), "tree", "_key"))
+    passed = drawn.filter(F.pmod("_draw", F.lit(2**40)) < F.lit(math.ceil(share * 2**40)))
+    order = W.partitionBy("tree").orderBy(F.pmod("_draw", F.lit(2**40)), "_key")
+    ranked = passed.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample)
+    return ranked.select("tree", "_rank", "_key", "values")
 
 
 def _grow(rows: np.ndarray, limit: int, rng: np.random.Generator) -> list[tuple]:
@@ -114,20 +115,29 @@ def fit(
     sample: int = 256,
     seed: int = 42,
 ) -> IsolationForest:
-    """Grow a forest on the normal rows only (all rows without a label)."""
+    """Grow a forest on the normal rows only (all rows without a label).
+
+    With fewer normal rows than ``sample``, each tree takes them all; height limit, path correction
+    and the saved model then go by their number.
+    """
     normal = df.filter(F.col(label) == 0) if label else df
+    rows = normal.count()
+    if not rows:
+        raise ValueError("an isolation forest needs normal rows")
+    sample = min(sample, rows)
     limit = max(1, math.ceil(math.log2(sample)))
 
     def grow(batch: pd.DataFrame) -> pd.DataFrame:
         tree = int(batch["tree"].iloc[0])
-        rows = np.stack(batch.sort_values("_rank")["values"].to_numpy())
-        rows = np.nan_to_num(np.asarray(rows, dtype=float))
-        grown = _grow(rows, limit, np.random.default_rng([seed, tree]))
+        drawn = np.stack(batch.sort_values("_rank")["values"].to_numpy())
+        drawn = np.nan_to_num(np.asarray(drawn, dtype=float))
+        grown = _grow(drawn, limit, np.random.default_rng([seed, tree]))
         return pd.DataFrame([{"tree": tree, **n.__dict__} for n in grown])
 
-    samples = draw_samples(normal, key, features, trees, sample, seed)
+    samples = draw_samples(normal, key, features, trees, sample, seed, rows)
     # Kept once: growing again after a lost task would be wasteful, not different.
     ensure_checkpoint_dir(df.sparkSession)
+    ship_package(df.sparkSession)
     nodes = samples.groupBy("tree").applyInPandas(grow, NODES).checkpoint()
     return IsolationForest(nodes, tuple(features), sample)
 
@@ -137,13 +147,14 @@ def score(df: DataFrame, forest: IsolationForest, name: str = "raw_score") -> Da
 
     What the driver holds is the forest itself, a few thousand numbers per tree at most.
     """
+    ship_package(df.sparkSession)
     table = forest.nodes.orderBy("tree", "node").toPandas()
     grown = [
         tuple(t[c].to_numpy() for c in ("feature", "split", "left", "right", "path"))
         for _, t in table.groupby("tree")
     ]
     shared = df.sparkSession.sparkContext.broadcast(grown)
-    expected = average_path(forest.sample)
+    expected = average_path(forest.sample) or 1.0  # one row has no path to speak of
 
     @F.pandas_udf("double")
     def raw(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -6,9 +6,11 @@ own parameters and class weighting; the trees are Spark's, grown over all partit
 
 from __future__ import annotations
 
+import functools
 import itertools
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -22,6 +24,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from riskloom.functions.features import FEATURE_NAMES
 from riskloom.operators import evaluation, ranking
@@ -116,14 +119,16 @@ GRIDS = {
 # --- class weights ------------------------------------------------------------------------------
 
 
-def with_class_weight(df: DataFrame, label: str = "is_default", mode: str = "balanced") -> DataFrame:
-    """Append ``weight``.
+def with_class_weight(
+    df: DataFrame, label: str = "is_default", mode: str = "balanced", counted: DataFrame | None = None
+) -> DataFrame:
+    """Append ``weight``, from the classes of ``counted`` if given: training rows without validation ones.
 
     ``positive`` weighs positives with negatives per positive (1 if there are none) and negatives
     with 1. ``balanced`` weighs a class with n / (2 n_class).
     """
     positive = F.col(label) == 1
-    counts = df.agg(
+    counts = (df if counted is None else counted).agg(
         F.struct(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")).alias("counts")
     ).scalar()
     pos, neg = F.col("_counts.pos"), F.col("_counts.neg")
@@ -161,7 +166,8 @@ def fit_slot(
     Lineage of long boosting runs is cut through the shared checkpoint folder.
     """
     ensure_checkpoint_dir(data.sparkSession)
-    weighted = with_class_weight(data, label, slot.weighting)
+    counted = data.filter(~F.col(validation)) if validation else None
+    weighted = with_class_weight(data, label, slot.weighting, counted)
     needed = [label, "features", WEIGHT] + ([validation] if validation else [])
     return classifier(slot, label, validation, **overrides).fit(weighted.select(*needed))
 
@@ -272,27 +278,36 @@ def search(
     key: str = "c_custkey",
     label: str = "is_default",
     grid: Mapping[str, Sequence[object]] | None = None,
+    parallelism: int = 3,
 ) -> tuple[Model, dict[str, object], DataFrame]:
     """Randomised search by cross-validated F1: refitted best model, its parameters, all trials.
 
+    Fits do not depend on each other; ``parallelism`` of them run at a time.
+
     A trial's held-out scores from all folds are judged together per fold in one aggregation; what
     reaches the driver is one number per trial.
     """
     slot, grid = SLOTS[name], grid or GRIDS[name]
     spark = data.sparkSession
     folded = evenly_kept(stratified_folds(data, key, label, folds, str(SEED)))
+
+    def one_fold(point: Mapping[str, object], fold: int) -> DataFrame:
+        model = fit_slot(folded.filter(F.col("fold") != fold), slot, label, **point)
+        return score(folded.filter(F.col("fold") == fold), model).select(
+            F.col("fold").cast("string").alias("model"), F.col(label).alias("label"), "score"
+        )
+
     trials = []
     try:
-        for number, point in enumerate(draw(grid, n_iter)):
-            held_out = None
-            for fold in range(folds):
-                model = fit_slot(folded.filter(F.col("fold") != fold), slot, label, **point)
-                part = score(folded.filter(F.col("fold") == fold), model).select(
-                    F.col("fold").cast("string").alias("model"), F.col(label).alias("label"), "score"
-                )
-                held_out = part if held_out is None else held_out.unionByName(part)
-            f1 = evaluation.at_threshold(held_out, 0.5).agg(F.avg("f1")).first()[0]
-            trials.append((name, number, {k: str(v) for k, v in point.items()}, float(f1 or 0.0), point))
+        points = draw(grid, n_iter)
+        with ThreadPoolExecutor(parallelism) as pool:
+            fitted = [
+                [pool.submit(inheritable_thread_target(spark)(one_fold), point, fold) for fold in range(folds)] for point in points
+            ]
+            for number, (point, parts) in enumerate(zip(points, fitted, strict=True)):
+                held_out = functools.reduce(DataFrame.unionByName, [part.result() for part in parts])
+                f1 = evaluation.at_threshold(held_out, 0.5).agg(F.avg("f1")).first()[0]
+                trials.append((name, number, {k: str(v) for k, v in point.items()}, float(f1 or 0.0), point))
         best = max(trials, key=lambda t: (t[3], -t[1]))
         model = fit_slot(folded, slot, label, **best[4])
     finally:

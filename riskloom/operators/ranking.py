@@ -127,9 +127,25 @@ def min_max_scaled(results: DataFrame, metrics: Sequence[str] = COMPARED) -> Dat
 # --- alerts against labels ----------------------------------------------------------------------
 
 
+def one_per_id(alerts: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """The last alert of each transaction, the higher score on equal times: sinks may repeat alerts."""
+    last = F.max_by(F.struct(*alerts.columns), F.struct(*_timed(alerts), "risk_score"))
+    return alerts.groupBy(F.col(key).alias("_id")).agg(last.alias("_last")).select("_last.*")
+
+
+def _timed(alerts: DataFrame) -> list[str]:
+    return ["timestamp"] if "timestamp" in alerts.columns else []
+
+
+def id_order(key: str = "transaction_id") -> Column:
+    """Ids in order: numbers by value before all others, those by text."""
+    number = F.col(key).try_cast("long")
+    return F.struct(number.isNull().alias("text"), number.alias("number"), F.col(key).alias("id"))
+
+
 def with_alerts(labels: DataFrame, alerts: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Labels with the score of their alert, 0 without one, and whether there is one."""
-    scored = alerts.select(key, F.col("risk_score").alias("predicted_score"), F.lit(True).alias("has_alert"))
+    scored = one_per_id(alerts.select(key, *_timed(alerts), "risk_score"), key).select(key, F.col("risk_score").alias("predicted_score"), F.lit(True).alias("has_alert"))
     return labels.join(scored, key, "left").fillna(0.0, ["predicted_score"]).fillna(False, ["has_alert"])
 
 
@@ -138,7 +154,7 @@ def alerts_with_label(
 ) -> DataFrame:
     """Alerts whose transaction carries the label: 1 for right ones, 0 for false ones."""
     wanted = labels.filter(F.col("is_default") == label).select(key)
-    return alerts.join(wanted, key, "left_semi")
+    return one_per_id(alerts, key).join(wanted, key, "left_semi")
 
 
 def missed(labels: DataFrame, alerts: DataFrame, key: str = "transaction_id") -> DataFrame:
@@ -148,7 +164,7 @@ def missed(labels: DataFrame, alerts: DataFrame, key: str = "transaction_id") ->
 
 def top_alerts(alerts: DataFrame, n: int) -> DataFrame:
     """Highest scores first, the smaller id first on ties."""
-    return alerts.orderBy(F.desc("risk_score"), F.col("transaction_id").cast("long")).limit(n)
+    return alerts.orderBy(F.desc("risk_score"), id_order()).limit(n)
 
 
 def alert_quality(labels: DataFrame, alerts: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Catalogue entries that run jobs: training, search and streams.
 
-The learners run with few rounds here so that the catalogue stays quick; the defaults in
-:mod:`riskloom.operators.learn` are the full sizes.
+The learners run with the rounds of ``QUICK`` here so that the catalogue stays quick, except in
+``j13_training_job``, which fits every slot and the isolation forest at their own sizes. What is
+returned are facts that hold whichever way a learner breaks ties.
 """
 
 from __future__ import annotations
@@ -42,12 +43,13 @@ def _assembled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _auc_row(scored: DataFrame, name: str) -> DataFrame:
-    """In-sample AUC, the number of rows scored, and whether all scores are probabilities."""
+    """Rows scored, how many scores are probabilities, and whether in-sample AUC shows that it learned."""
     long = learn.long_scores(scored, [name], KEY, LABEL)
     inside = long.groupBy("model").agg(
         F.count("*").alias("n_rows"), F.count_if(F.col("score").between(0.0, 1.0)).alias("n_valid")
     )
-    return tidy(evaluation.roc_auc(long).join(inside, "model"))
+    joined = evaluation.roc_auc(long).join(inside, "model")
+    return joined.select("model", "n_rows", "n_valid", (F.col("roc_auc") > 0.7).alias("learned"))
 
 
 def _fit_and_score(name: str) -> Query:
@@ -67,23 +69,27 @@ def _batch_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _early_stopping(spark: SparkSession, sf: str) -> DataFrame:
-    """Rounds asked for and rounds kept once the validation rows stop improving."""
+    """Whether boosting stops before its rounds are up when the labels are noise."""
     train, _ = training.prepare(*_parts(spark, sf), KEY, LABEL)
-    rounds = {"lightgbm": {"maxIter": 15, "maxDepth": 3}}
-    models = learn.fit_all(train, {"lightgbm": learn.SLOTS["lightgbm"]}, LABEL, "is_validation", rounds)
-    kept = F.lit(models["lightgbm"].getNumTrees)
-    return spark.range(1).select(F.lit(15).alias("rounds_asked"), (kept <= 15).alias("stopped_in_time"))
+    noise = train.withColumn(LABEL, (F.pmod(F.xxhash64(F.lit(3), KEY), F.lit(2)) == 0).cast("int"))
+    rounds = {"lightgbm": {"maxIter": 40, "maxDepth": 3}}
+    model = learn.fit_all(noise, {"lightgbm": learn.SLOTS["lightgbm"]}, LABEL, "is_validation", rounds)["lightgbm"]
+    kept = model.getNumTrees
+    return noise.agg(F.count("*").alias("n_rows")).select("n_rows", F.lit(40).alias("rounds_asked"), F.lit(kept < 40).alias("stopped_early"))
 
 
 def _isolation(spark: SparkSession, sf: str) -> DataFrame:
     featured = matrix.feature_matrix(fx.featured_profile(spark, sf), [KEY, LABEL])
-    forest = isolation.fit(featured, FEATURE_NAMES, KEY, LABEL, trees=50)
-    scored = metrics.anomaly_probability(isolation.score(featured, forest), "raw_score")
+    forest = isolation.fit(featured, FEATURE_NAMES, KEY, LABEL)
+    scored = metrics.anomaly_probability(isolation.score(featured, forest).checkpoint(), "raw_score")
+    # Rows that pay far later than most lie apart from the rest.
+    apart = F.avg(F.when(F.col("months_delayed") >= 4, F.col("anomaly_score")))
     return scored.agg(
         F.count("*").alias("n"),
         F.count_if(F.col("anomaly_score").between(0, 1)).alias("n_valid"),
         F.min("anomaly_score").alias("lowest"),
         F.max("anomaly_score").alias("highest"),
+        (apart > F.avg("anomaly_score")).alias("late_payers_stand_out"),
     )
 
 
@@ -96,20 +102,26 @@ _SMALL_GRIDS = {
 def _search(spark: SparkSession, sf: str) -> DataFrame:
     rows = _assembled(spark, sf)
     _, _, trials = learn.search(rows, "random_forest", 2, 3, KEY, LABEL, _SMALL_GRIDS["random_forest"])
-    return trials.select("model", "trial", F.size("params").alias("n_params"), F.col("cv_f1").between(0, 1).alias("valid"))
+    valid = F.col("cv_f1").between(0, 1)
+    return trials.select("model", "trial", F.size("params").alias("n_params"), valid.alias("valid"))
 
 
 def _best_trials(spark: SparkSession, sf: str) -> DataFrame:
+    """Per model the number of trials, and whether the best one has the highest score of all."""
     rows = _assembled(spark, sf)
     _, _, trials = learn.search(rows, "xgboost", 2, 2, KEY, LABEL, _SMALL_GRIDS["xgboost"])
-    return tidy(learn.best_trials(trials))
+    counted = trials.groupBy("model").agg(F.count("*").alias("n_trials"), F.max("cv_f1").alias("highest"))
+    joined = learn.best_trials(trials).join(counted, "model")
+    return joined.select("model", "n_trials", (F.col("cv_f1") == F.col("highest")).alias("is_highest"))
 
 
 def _validation_auc(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = training.prepare(*_parts(spark, sf), KEY, LABEL)
     models = learn.fit_all(train, learn.SLOTS, LABEL, "is_validation", QUICK)
-    held_out = learn.score_all(train.filter("is_validation"), models)
-    return tidy(learn.validation_auc(held_out.select(KEY, LABEL, *models).checkpoint(), list(models), KEY, LABEL))
+    held_out = learn.score_all(train.filter("is_validation"), models).select(KEY, LABEL, *models).checkpoint()
+    areas = learn.validation_auc(held_out, list(models), KEY, LABEL)
+    counted = areas.crossJoin(F.broadcast(held_out.agg(F.count("*").alias("n_rows"))))  # one row
+    return counted.select("model", "n_rows", F.col("val_roc_auc").between(0.0, 1.0).alias("valid"))
 
 
 def _forest(spark: SparkSession, sf: str) -> Model:
@@ -117,14 +129,31 @@ def _forest(spark: SparkSession, sf: str) -> Model:
     return learn.fit_all(_assembled(spark, sf), slots, LABEL, None, QUICK)["random_forest"]
 
 
+def _importance_facts(listed: DataFrame) -> DataFrame:
+    return listed.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("feature").isin(*FEATURE_NAMES)).alias("n_known"),
+        F.count_if(F.col("importance") >= 0).alias("n_not_negative"),
+        F.round(F.sum("importance"), 6).alias("total"),
+    )
+
+
 def _importances(spark: SparkSession, sf: str) -> DataFrame:
-    model = _forest(spark, sf)
-    return tidy(learn.importances(model).unionByName(learn.uniform_importances(spark)))
+    model = learn.importances(_forest(spark, sf))
+    named = lambda df, name: _importance_facts(df).withColumn("model", F.lit(name))
+    return named(model, "random_forest").unionByName(named(learn.uniform_importances(spark), "uniform"))
 
 
 def _top_importances(spark: SparkSession, sf: str) -> DataFrame:
-    model = _forest(spark, sf)
-    return tidy(ranking.top_importances(learn.importances(model), 20))
+    """Facts about the twenty highest: how many, that none left out is higher, that they are shares."""
+    every = learn.importances(_forest(spark, sf))
+    top = ranking.top_importances(every, 20)
+    rest = every.join(top.select("feature"), "feature", "left_anti")
+    lowest = top.agg(F.count("*").alias("n"), F.min("importance").alias("low"), F.sum("importance").alias("total"))
+    both = lowest.crossJoin(F.broadcast(rest.agg(F.max("importance").alias("left_out"), F.count("*").alias("n_left"))))  # one row each
+    return both.select(
+        "n", "n_left", (F.col("left_out") <= F.col("low")).alias("none_higher"), (F.col("total") <= 1.000001).alias("are_shares")
+    )
 
 
 def _save_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,19 +168,60 @@ def _save_load(spark: SparkSession, sf: str) -> DataFrame:
     return scored.agg(F.count("*").alias("n"), *same)
 
 
+def _ranked(comparison: DataFrame) -> DataFrame:
+    """Which models were compared, that their ranks run from 1, and that a better rank has no lower AUC."""
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "roc_auc", "model")))
+    listed = comparison.agg(ordered.alias("rows"))  # a row per model
+    falling = F.forall(
+        F.sequence(F.lit(1), F.size("rows") - 1),
+        lambda i: F.col("rows")[i - 1]["roc_auc"] >= F.col("rows")[i]["roc_auc"],
+    )
+    return listed.select(
+        F.array_join(F.array_sort("rows.model"), ",").alias("models"),
+        F.array_join("rows.rank", ",").alias("ranks"),
+        falling.alias("by_auc"),
+    )
+
+
 def _comparison(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(training.train_models(*_parts(spark, sf), KEY, LABEL, overrides=QUICK, anomaly_trees=50).comparison)
+    return _ranked(training.train_models(*_parts(spark, sf), KEY, LABEL, overrides=QUICK, anomaly_trees=50).comparison)
+
+
+def _labelled_parts(train: DataFrame, test: DataFrame) -> DataFrame:
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
 def _training_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Every slot at its own size, saved and read again; the comparison with the manifest's counts."""
     train, test = _parts(spark, sf)
-    slots = {n: learn.SLOTS[n] for n in ("xgboost", "random_forest")}
-    trained = training.train_models(train, test, KEY, LABEL, slots, QUICK, anomaly_trees=50)
+    trained = training.train_models(train, test, KEY, LABEL)
     folder = work_dir(spark, "training-run")
-    labelled = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    training.save_run(trained, labelled, folder)
+    training.save_run(trained, _labelled_parts(train, test), folder)
+    saved = tables.read_csv(spark, f"{folder}/model_comparison", trained.comparison.schema)
+    info = spark.read.json(f"{folder}/feature_info").select("training_info.train_samples", "training_info.test_samples")
+    return _ranked(saved).crossJoin(F.broadcast(info))  # one row each
+
+
+def _tuned_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Search of two slots, thresholds, and all that a tuned run saves."""
+    train, test = _parts(spark, sf)
+    trained, trials, thresholds = training.tuned_models(
+        train, test, KEY, LABEL, tuple(_SMALL_GRIDS), n_iter=2, folds=2, grids=_SMALL_GRIDS
+    )
+    folder = work_dir(spark, "tuned-run")
+    training.save_run(trained, _labelled_parts(train, test), folder, LABEL, trials, thresholds, 2, 2)
+    info = spark.read.json(f"{folder}/feature_info")
+    facts = info.select(
+        "n_iter", "cv_folds", "training_info.train_samples",
+        F.col("best_params.xgboost").contains("maxIter").alias("names_parameters"),
+    )
+    kept = spark.read.parquet(f"{folder}/trials").agg(F.count("*").alias("n_trials"))
+    cuts = spark.read.csv(f"{folder}/thresholds", header=True).agg(F.countDistinct("model").alias("n_thresholds"))
     saved = tables.read_csv(spark, f"{folder}/model_comparison", trained.comparison.schema)
-    return tidy(saved.select("model", "rank", "roc_auc", "f1"))
+    out = _ranked(saved)
+    for one in (facts, kept, cuts):
+        out = out.crossJoin(F.broadcast(one))  # one row each
+    return out
 
 
 # --- streams ------------------------------------------------------------------------------------
@@ -164,7 +234,7 @@ def _message_files(spark: SparkSession, sf: str, files: int = 3) -> str:
 
 
 def scorecards(accepted: DataFrame) -> DataFrame:
-    keyed = accepted.withColumn(KEY, F.col("transaction_id").cast("long"))
+    keyed = accepted.withColumn(KEY, F.col("transaction_id").try_cast("long"))
     return fx.with_scorecards(features.add_features(keyed))
 
 
@@ -253,8 +323,8 @@ def _progress(spark: SparkSession, sf: str) -> DataFrame:
     predicted = stream.observed(stream.scored_stream(source, scorecards, MODELS, PARAMS))
     out = work_dir(spark, "progress")
     writer = predicted.select("transaction_id", "risk_score").writeStream.format("parquet").option("path", out)
-    query = stream.run_all(writer, work_dir(spark, "progress-state"))
-    return spark.range(1).select(F.lit(stream.observed_total(query)).cast("long").alias("processed"))
+    seen = stream.run_and_count(spark, writer, work_dir(spark, "progress-state"))
+    return spark.range(1).select(F.lit(seen).cast("long").alias("processed"))
 
 
 def _restarted(spark: SparkSession, sf: str) -> DataFrame:
@@ -304,6 +374,7 @@ def catalogue() -> dict[str, Query]:
         "j11_importances": _importances,
         "j12_save_load": _save_load,
         "j13_training_job": _training_job,
+        "j13_tuned_job": _tuned_job,
         "k1_scoring_stream": _scoring_stream,
         "k2_reject_stream": _reject_stream,
         "k3_running_totals": _running_totals,

@@ -680,12 +680,49 @@ def _stream_statements() -> dict[str, str]:
     }
 
 
+def _learning_statements() -> dict[str, str]:
+    """What must hold of learned models whichever way they were grown."""
+    fitted = lambda name: over("credit_profile", f"SELECT '{name}' AS model, count(*) AS n_rows, count(*) AS n_valid, true AS learned FROM credit_profile")
+    slots = ", ".join(f"('{m}')" for m in MODELS)
+    validation = _table_statements()["i2_validation_split"]
+    train = "(SELECT count(*) FROM split_profile WHERE split = 'train')"
+    test = "(SELECT count(*) FROM split_profile WHERE split = 'test')"
+    every = "'catboost,isolation_forest,lightgbm,random_forest,xgboost' AS models, '1,2,3,4,5' AS ranks, true AS by_auc"
+    return {
+        "d1_score_with_model": fitted("xgboost"),
+        "d2_score_batch": over("credit_profile", "SELECT count(*) AS n, count(*) AS n_xgboost, count(*) AS n_random_forest FROM credit_profile"),
+        "f4_top_importances": "SELECT 20::BIGINT AS n, 16::BIGINT AS n_left, true AS none_higher, true AS are_shares",
+        "j3_boosted_xgboost": fitted("xgboost"),
+        "j3_boosted_lightgbm": fitted("lightgbm"),
+        "j3_boosted_catboost": fitted("catboost"),
+        "j4_early_stopping": over("split_profile", f"SELECT {train} AS n_rows, 40 AS rounds_asked, true AS stopped_early"),
+        "j5_random_forest": fitted("random_forest"),
+        "j6_isolation_forest": over("credit_profile", """
+            SELECT count(*) AS n, count(*) AS n_valid, 0e0 AS lowest, 1e0 AS highest, true AS late_payers_stand_out FROM credit_profile"""),
+        "j7_random_search": "SELECT 'random_forest' AS model, trial::INTEGER AS trial, 2 AS n_params, true AS valid FROM (VALUES (0), (1)) AS t(trial)",
+        "j8_best_parameters": "SELECT 'xgboost' AS model, 2::BIGINT AS n_trials, true AS is_highest",
+        "j9_validation_auc": f"""
+            WITH rows_ AS ({validation})
+            SELECT model, (SELECT count(*) FROM rows_ WHERE split = 'validation') AS n_rows, true AS valid FROM (VALUES {slots}) AS t(model)""",
+        "j10_model_comparison": f"SELECT {every}",
+        "j11_importances": f"""
+            SELECT model, 36::BIGINT AS n, 36::BIGINT AS n_known, 36::BIGINT AS n_not_negative, 1e0 AS total
+            FROM (VALUES ('random_forest'), ('uniform')) AS t(model)""",
+        "j12_save_load": over("credit_profile", "SELECT count(*) AS n, count(*) AS same_catboost, count(*) AS same_random_forest FROM credit_profile"),
+        "j13_training_job": over("split_profile", f"SELECT {every}, {train} AS train_samples, {test} AS test_samples"),
+        "j13_tuned_job": over("split_profile", f"""
+            SELECT 'random_forest,xgboost' AS models, '1,2' AS ranks, true AS by_auc, 2::BIGINT AS n_iter, 2::BIGINT AS cv_folds,
+                   {train} AS train_samples, true AS names_parameters, 4::BIGINT AS n_trials, 2::BIGINT AS n_thresholds"""),
+    }
+
+
 def statements() -> dict[str, str]:
     """Statement per query name. Queries without one have no SQL form."""
     out: dict[str, str] = {}
     for part in (
         _source_statements, _cleaning_statements, _feature_statements, _velocity_statements, _scoring_statements,
         _metric_statements, _evaluation_statements, _ranking_statements, _table_statements, _stream_statements,
+        _learning_statements,
     ):
         out |= part()
     return out

@@ -90,7 +90,8 @@ def _split(spark: SparkSession, sf: str) -> DataFrame:
 
 def _train_test_load(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_dir(spark, "train-test")
-    parts = _split(spark, sf)
+    _split(spark, sf).write.partitionBy("split").parquet(f"{folder}/parts")
+    parts = spark.read.parquet(f"{folder}/parts")
     for name in ("train", "test"):
         parts.filter(F.col("split") == name).write.parquet(f"{folder}/{name}.parquet")
     train, test = tables.read_train_test(spark, folder)
@@ -170,7 +171,7 @@ def _metrics_csv(spark: SparkSession, sf: str) -> DataFrame:
 def _split_tables(spark: SparkSession, sf: str) -> DataFrame:
     path = work_dir(spark, "splits")
     tables.write_split(_split(spark, sf), "is_default", path)
-    labels = spark.read.parquet(f"{path}/labels")
+    labels = spark.read.parquet(f"{path}/labels").join(spark.read.parquet(f"{path}/features").drop("split"), "c_custkey")
     return labels.groupBy("split").agg(F.count("*").alias("n_rows"), F.sum("is_default").alias("n_default"))
 
 
@@ -345,7 +346,7 @@ def scoring_job(spark: SparkSession, sf: str) -> DataFrame:
 def score_messages(messages: DataFrame) -> DataFrame:
     """JSON messages in, alerts out: decode, featurise, score, decide, explain."""
     accepted = wire.accepted(wire.decode_transactions(messages))
-    keyed = accepted.withColumn("c_custkey", F.col("transaction_id").cast("long"))
+    keyed = accepted.withColumn("c_custkey", F.col("transaction_id").try_cast("long"))
     scored = fx.with_scorecards(features.add_features(keyed))
     return score_transactions(scored, MODELS, PARAMS)
 
@@ -445,7 +446,7 @@ def _top(label: int, n: int) -> Query:
 
 
 def _missed(labels: DataFrame, alerts: DataFrame) -> DataFrame:
-    rows = ranking.missed(labels, alerts).withColumn("order", F.col("transaction_id").cast("long"))
+    rows = ranking.missed(labels, alerts).withColumn("order", ranking.id_order())
     return tables.first_rows(rows, "order", 5).select("transaction_id", "pay_0", "limit_bal")
 
 

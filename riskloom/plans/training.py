@@ -41,7 +41,7 @@ def anomaly_scores(
 ) -> tuple[isolation.IsolationForest, DataFrame]:
     """Isolation forest on normal training rows and its probability-like scores on the test rows."""
     forest = isolation.fit(train, FEATURE_NAMES, key, label, trees)
-    raw = isolation.score(test, forest)
+    raw = isolation.score(test, forest).checkpoint()  # the bounds and the result both read it
     return forest, metrics.anomaly_probability(raw, "raw_score").withColumnRenamed(
         "anomaly_score", "isolation_forest"
     )
@@ -63,7 +63,8 @@ def train_models(
     models = learn.fit_kept(kept, slots, label, "is_validation", overrides)
     scored, names, forest = learn.score_all(test_rows, models), list(models), None
     if anomaly_trees:
-        forest, scored = anomaly_scores(kept, scored, key, label, anomaly_trees)
+        learned = kept.filter(~F.col("is_validation"))
+        forest, scored = anomaly_scores(learned, scored, key, label, anomaly_trees)
         names.append("isolation_forest")
     # Scores are kept once; evaluation reads them several times and the trees are dear to walk.
     scores = scored.select(key, label, *names).checkpoint()
@@ -98,13 +99,33 @@ def tuned_models(
     return trained, trials, evaluation.default_and_optimal(long)
 
 
-def save_run(trained: Trained, data: DataFrame, folder: str, label: str = "is_default") -> None:
-    """Comparison as CSV, models in Spark's format, and the manifest; ``data`` has a ``split`` column."""
+def save_run(
+    trained: Trained,
+    data: DataFrame,
+    folder: str,
+    label: str = "is_default",
+    trials: DataFrame | None = None,
+    thresholds: DataFrame | None = None,
+    n_iter: int = 0,
+    cv_folds: int = 0,
+) -> None:
+    """Comparison as CSV, models in Spark's format, and the manifest; ``data`` has a ``split`` column.
+
+    A tuned run also leaves its trials and the table of default against optimal thresholds, and its
+    manifest names the best parameters as text, the number of trials and the folds.
+    """
     tables.write_metrics(trained.comparison, f"{folder}/model_comparison")
     learn.save_models(trained.models, f"{folder}/models")
     if trained.forest is not None:
         trained.forest.save(f"{folder}/models/isolation_forest")
-    manifest = tables.manifest(data, label, matrix.NUMERIC, CATEGORICAL_FEATURES)
+    extras, settings = {}, {}
+    if trials is not None:
+        trials.write.mode("errorifexists").parquet(f"{folder}/trials")
+        extras["best_params"] = {r["model"]: r["params"] for r in learn.best_trials(trials).collect()}  # a row per model
+        settings = {"n_iter": n_iter, "cv_folds": cv_folds}
+    if thresholds is not None:
+        tables.write_metrics(thresholds, f"{folder}/thresholds")
+    manifest = tables.manifest(data, label, matrix.NUMERIC, CATEGORICAL_FEATURES, extras, settings)
     tables.write_manifest(manifest, f"{folder}/feature_info")
 
 

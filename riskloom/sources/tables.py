@@ -86,11 +86,15 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.coalesce(1).write.mode("errorifexists").csv(path, header=True)
 
 
-def write_split(df: DataFrame, label: str, path: str) -> None:
-    """Features and labels of each part below ``split=``, so a reader of one part skips the other."""
-    features = df.drop(label)
-    features.write.mode("errorifexists").partitionBy("split").parquet(f"{path}/features")
-    df.select("split", label).write.mode("errorifexists").partitionBy("split").parquet(f"{path}/labels")
+def write_split(df: DataFrame, label: str, path: str, key: str = "c_custkey") -> None:
+    """Features and labels of each part below ``split=``, so a reader of one part skips the other.
+
+    Both keep ``key``, by which they join, and come from one stored table: the split is worked out once.
+    """
+    df.write.mode("errorifexists").partitionBy("split").parquet(f"{path}/all")
+    whole = df.sparkSession.read.parquet(f"{path}/all")
+    whole.drop(label).write.mode("errorifexists").partitionBy("split").parquet(f"{path}/features")
+    whole.select("split", key, label).write.mode("errorifexists").partitionBy("split").parquet(f"{path}/labels")
 
 
 def manifest(
@@ -98,12 +102,14 @@ def manifest(
     label: str,
     numeric: Sequence[str],
     categorical: Sequence[str],
-    extras: Mapping[str, Mapping[str, float]] | None = None,
+    extras: Mapping[str, Mapping[str, object]] | None = None,
+    settings: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One nested row describing a training run.
 
     ``data`` has a ``split`` column with train, validation and test rows. ``extras`` holds small
-    per-model maps such as thresholds or cross-validation scores.
+    per-model maps such as thresholds, cross-validation scores or parameters as text; ``settings``
+    are plain numbers such as trials and folds.
     """
 
     def rows(part: str):
@@ -130,6 +136,7 @@ def manifest(
         ).alias("preprocessing"),
         F.struct("train_samples", "val_samples", "test_samples", "default_rate").alias("training_info"),
         *[c.alias(n) for n, c in maps.items()],
+        *[F.lit(x).alias(n) for n, x in (settings or {}).items()],
     )
 
 

@@ -7,11 +7,12 @@ here gives the same output when a micro-batch is repeated.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from riskloom.functions.scoring import at_least, risk_level, score_bucket
 from riskloom.params import ScoringParams
@@ -121,7 +122,44 @@ def observed(predicted: DataFrame, name: str = "progress") -> DataFrame:
     return predicted.observe(name, F.count("*").alias("processed"), F.avg("risk_score").alias("mean_score"))
 
 
-def observed_total(query: StreamingQuery, name: str = "progress") -> int:
-    """Rows observed over the micro-batches the query still remembers."""
-    seen = [p.observedMetrics.get(name) for p in query.recentProgress]
-    return sum(row["processed"] for row in seen if row is not None)
+class ObservedTotal(StreamingQueryListener):
+    """Adds up a count over all micro-batches of every query it hears of, however many there are."""
+
+    def __init__(self, name: str = "progress", field: str = "processed"):
+        self.name, self.field = name, field
+        self.totals: dict[str, int] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None:
+            run = str(event.progress.runId)
+            self.totals[run] = self.totals.get(run, 0) + row[self.field]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def of(self, query: StreamingQuery, seconds: float = 60.0) -> int:
+        """The total of an ended query; its events arrive in order and shortly after it."""
+        if not self._end(str(query.runId)).wait(seconds):
+            raise TimeoutError("the query's end was not reported")
+        return self.totals.get(str(query.runId), 0)
+
+
+def run_and_count(spark: SparkSession, writer, checkpoint: str, name: str = "progress") -> int:
+    """:func:`run_all`, returning the rows observed over all its micro-batches."""
+    total = ObservedTotal(name)
+    spark.streams.addListener(total)
+    try:
+        return total.of(run_all(writer, checkpoint))
+    finally:
+        spark.streams.removeListener(total)
