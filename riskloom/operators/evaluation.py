@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import at_least
 from riskloom.operators.clean import binarise
-from riskloom.operators.running import running_totals, slice_by_value
+from riskloom.operators.running import SLICES_PER_OCTAVE, running_totals, slice_by_value
 from riskloom.params import NEUTRAL_SCORE
 
 METRICS = ("f1", "precision", "recall")
@@ -178,7 +178,7 @@ def score_table(scores: DataFrame) -> DataFrame:
     )
 
 
-def cumulative(scores: DataFrame, slices: int | None = None) -> DataFrame:
+def cumulative(scores: DataFrame, slices: int = SLICES_PER_OCTAVE) -> DataFrame:
     """Per distinct score: counts at it, counts at or above it, and the model's totals."""
     sliced = slice_by_value(score_table(scores), "score", descending=True, slices=slices)
     values = {"pos": F.col("pos"), "neg": F.col("neg")}

@@ -43,9 +43,9 @@ def latency_stats(
     """
     counts = value_counts(durations, keys, value)
     n = F.col("all_n")
-    total, rows = F.sum(F.col(value) * F.col("n")), F.sum("n")
-    # A truncating division; the integer one fails when the table is empty.
-    mean = F.coalesce(F.floor(F.try_divide(total, rows)).cast("long"), F.lit(0))
+    rows = F.sum("n")
+    # Whole numbers throughout: a double would be inexact above 2^53, a long sum could overflow.
+    mean = F.coalesce(F.expr(f"sum(cast({value} as decimal(38, 0)) * n) div nullif(sum(n), 0)"), F.lit(0))
     columns = [
         F.coalesce(rows, F.lit(0)).alias("calls"),
         mean.alias("mean_us"),

@@ -27,9 +27,13 @@ def compare_models(results: DataFrame, metric: str = "roc_auc") -> DataFrame:
 
 
 def _mean_rank(metric: str) -> Column:
-    """Rank from the top where tied models share the mean of their ranks."""
-    ordered, tied = W.partitionBy().orderBy(F.desc(metric)), W.partitionBy(metric)
-    return F.rank().over(ordered) + (F.count("*").over(tied) - 1) / F.lit(2.0)
+    """Rank from the top where tied models share the mean of their ranks.
+
+    Ranks from either end differ by the ties, so no window per value is needed and all metrics are
+    ranked in one stage over the table, which has a row per model.
+    """
+    down, up = W.partitionBy().orderBy(F.desc(metric)), W.partitionBy().orderBy(F.asc(metric))
+    return (F.rank().over(down) + F.count("*").over(W.partitionBy()) + 1 - F.rank().over(up)) / F.lit(2.0)
 
 
 def overall_ranking(results: DataFrame, metrics: Sequence[str] = RANKED) -> DataFrame:

@@ -70,12 +70,60 @@ def test_isolation_forest_finds_planted_outliers(spark):
 
 def test_isolation_sample_sizes(spark):
     df = spark.range(1000).select("id", F.col("id").cast("double").alias("x"))
-    drawn = isolation.draw_samples(df, "id", ["x"], 5, 16, 3)
+    drawn = isolation.draw_samples(df, "id", ["x"], 5, 16, 3, 1000)
     assert {r["count"] for r in drawn.groupBy("tree").count().collect()} == {16}
-    few = isolation.draw_samples(df.limit(10), "id", ["x"], 5, 16, 3)
+    few = isolation.draw_samples(df.limit(10), "id", ["x"], 5, 16, 3, 10)
     assert {r["count"] for r in few.groupBy("tree").count().collect()} == {10}
 
 
+def test_isolation_trees_draw_from_all_rows(spark):
+    """More rows than any pool of the trees' samples: what is drawn lies all over the table."""
+    df = spark.range(40_000).select("id", F.col("id").cast("double").alias("x"))
+    drawn = isolation.draw_samples(df, "id", ["x"], 100, 256, 3, 40_000)
+    found = drawn.agg(F.count("*").alias("n"), F.countDistinct("_key").alias("keys")).first()
+    assert found["n"] == 25_600 and found["keys"] > 64 * 256
+
+
+def test_isolation_with_few_rows(spark):
+    df = spark.range(60).select("id", F.sin("id").alias("x"), F.lit(0).alias("y"))
+    forest = isolation.fit(df, ["x"], "id", "y", trees=50)
+    assert forest.sample == 60
+    scores = [r["raw_score"] for r in isolation.score(df, forest).collect()]
+    assert max(scores) > 0 > min(scores)
+    with pytest.raises(ValueError):
+        isolation.fit(df.limit(0), ["x"], "id", "y")
+
+
+def test_totals_of_many_micro_batches(spark):
+    folder = work_dir(spark, "many")
+    spark.range(240).select(F.col("id").cast("string")).repartition(120).write.text(folder)
+    observed = stream.file_source(spark, folder, 1).withColumn("risk_score", F.lit(0.5))
+    writer = stream.observed(observed).writeStream.format("noop")
+    assert stream.run_and_count(spark, writer, work_dir(spark, "many-state")) == 240
+
+
+def test_ids_that_are_no_numbers(spark, sf_dir):
+    sent = fx.transaction_json(spark, sf_dir).filter("id % 50 > 4").limit(40)
+    renamed = sent.select(F.regexp_replace("value", '("(?:ID|transaction_id)": *)"', '$1"tx_00').alias("value"))
+    scored = queries.score_messages(renamed).collect()
+    assert all(r["transaction_id"].startswith("tx_00") for r in scored)
+    assert queries.score_messages(sent).count() == len(scored)
+    folder = work_dir(spark, "named-ids")
+    renamed.write.text(folder)
+    predicted = stream.scored_stream(stream.file_source(spark, folder), job_queries.scorecards, MODELS, ScoringParams())
+    assert stream.run_and_count(spark, stream.observed(predicted).writeStream.format("noop"), work_dir(spark, "named-state")) == 40
+
+
+def test_features_and_labels_join_by_key(spark, sf_dir):
+    from riskloom.sources import tables
+
+    path = work_dir(spark, "split-tables")
+    data = queries._split(spark, sf_dir)
+    tables.write_split(data, "is_default", path)
+    joined = spark.read.parquet(f"{path}/features").join(spark.read.parquet(f"{path}/labels").drop("split"), "c_custkey")
+    assert joined.select(data.columns).exceptAll(data).isEmpty() and joined.count() == data.count()
+
+
 def test_stream_equals_batch(spark, sf_dir):
     batch = queries._flat_alerts(queries.scoring_job(spark, sf_dir))
     streamed = job_queries._scoring_stream(spark, sf_dir)

@@ -254,3 +254,13 @@ def test_alert_joins(spark):
     row = ranking.alert_quality(labels, alerts).first()
     assert (row["tp"], row["fp"], row["tn"], row["fn"], row["f1"]) == (1, 1, 1, 1, 0.5)
     assert [r["transaction_id"] for r in ranking.missed(labels, alerts).collect()] == ["2"]
+
+
+def test_repeated_and_named_alerts(spark):
+    labels = spark.createDataFrame([("tx_1", 1), ("tx_2", 1), ("3", 0)], "transaction_id string, is_default int")
+    rows = [("tx_1", 0.9), ("tx_1", 0.9), ("3", 0.9), ("10", 0.9)]
+    alerts = spark.createDataFrame(rows, "transaction_id string, risk_score double")
+    row = ranking.alert_quality(labels, alerts).first()
+    assert (row["tp"], row["fp"], row["tn"], row["fn"], row["recall"]) == (1, 1, 0, 1, 0.5)
+    top = ranking.top_alerts(alerts.dropDuplicates(), 3).collect()
+    assert [r["transaction_id"] for r in top] == ["3", "10", "tx_1"]
