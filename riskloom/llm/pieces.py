@@ -17,23 +17,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from riskloom.llm.common import map_arrow, table, with_field
+from riskloom.llm.common import blocks, map_arrow, table, with_field
 
 MODEL = "piece_bpe_32k.model"
 #: The mark that stands for a space.
 MARK = "▁"
 #: Words whose pieces a task keeps before it starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
 #: Characters that are indexed at a time.
-INDEXED = 1_000_000
+INDEXED = 250_000
 #: Characters that may precede a point inside pieces.
 MOST_BEFORE = 16
 #: Pairs of pieces whose verdict a task keeps.
-KEPT_PAIRS = 2_000_000
+KEPT_PAIRS = 500_000
 
 
 def default_model() -> str:
@@ -283,6 +284,15 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _parts(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut where the column at ``place`` holds about BLOCK_BYTES."""
+    for batch in batches:
+        column = batch.column(place)
+        sizes = (pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length)(column)
+        for a, b in blocks(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)):
+            yield batch.slice(a, b - a)
+
+
 def encode(docs: DataFrame, text: str = "text", model: str | None = None, ids: str = "ids") -> DataFrame:
     """The documents with an array of piece ids, empty for a null or empty text.
 
@@ -292,10 +302,10 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None, ids: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = pieces(model or default_model())
-        for batch in batches:
-            flat, ends = coder.encode([t or "" for t in batch.column(place).to_pylist()])
+        for part in _parts(batches, place):
+            flat, ends = coder.encode([t or "" for t in part.column(place).to_pylist()])
             column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, ids])
+            yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, ids])
 
     return map_arrow(docs, run, with_field(docs, ids, ArrayType(IntegerType())))
 
@@ -306,9 +316,9 @@ def decode(docs: DataFrame, ids: str = "ids", model: str | None = None, text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = pieces(model or default_model())
-        for batch in batches:
-            texts = [None if x is None else coder.decode(x) for x in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
+        for part in _parts(batches, place):
+            texts = [None if x is None else coder.decode(x) for x in part.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, text])
 
     return map_arrow(docs, run, with_field(docs, text, StringType()))
 

@@ -25,7 +25,7 @@ from riskloom.llm.common import map_arrow, table
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 #: Words whose counts a task keeps before it starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 
 
 def default_vocabulary() -> str:

@@ -27,7 +27,7 @@ from pyspark.sql.types import DoubleType
 from riskloom.llm.common import fresh, map_arrow, table, with_field
 
 #: Bounds of the labelled sample that the model is fitted on; rows are drawn by a hash of their id.
-TOXIC_ROWS = 3000
+TOXIC_ROWS = 2000
 ORDINARY_ROWS = 5000
 #: The share of the sample that trains the dictionaries; the rest calibrates.
 DICTIONARY_SHARE = 0.6
@@ -47,7 +47,7 @@ WINDOW_WORDS = 8
 #: Gains are counted from 1 to this.
 MOST_GAIN = 7
 RIDGE = 1.0
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 
 #: Bytes that do not occur in text.
 CARRIER = bytes([1, 14, 2, 27, 3, 26, 4, 25, 5, 24, 6, 23, 7, 22, 8, 21, 15, 20, 16, 19, 17, 18, 28, 30])
@@ -127,25 +127,25 @@ def telling_words(toxic: list[Counter], ordinary: list[Counter]) -> list[bytes]:
     for docs, total in ((toxic, often), (ordinary, seldom)):
         for doc in docs:
             total.update(doc.keys())
-    runs: dict[bytes, set[bytes]] = {}
-    for word in often:
-        padded = b" " + word + b" "
-        runs[word] = {padded[i : i + n] for n in RUN_LENGTHS for i in range(len(padded) - n + 1)}
     found = Counter()
-    for word, of in runs.items():
-        for run in of:
-            found[run] += often[word]
+    for word, n in often.items():
+        for run in _runs(word):
+            found[run] += n
     found = Counter({run: n for run, n in found.items() if n >= LEAST_DOCUMENTS})
     other = Counter()
     for word, n in seldom.items():
-        padded = b" " + word + b" "
-        for size in RUN_LENGTHS:
-            for i in range(len(padded) - size + 1):
-                if padded[i : i + size] in found:
-                    other[padded[i : i + size]] += n
+        for run in _runs(word):
+            if run in found:
+                other[run] += n
     a, b = len(toxic) + 1, len(ordinary) + 1
     telling = {r for r, n in found.items() if (n + 0.5) / a >= LEAST_ODDS * (other[r] + 0.5) / b}
-    return [word for doc in toxic for word, n in sorted(doc.items()) for _ in range(n) if not telling.isdisjoint(runs[word])]
+    told = {word for word in often if not telling.isdisjoint(_runs(word))}
+    return [word for doc in toxic for word, n in sorted(doc.items()) if word in told for _ in range(n)]
+
+
+def _runs(word: bytes) -> set[bytes]:
+    padded = b" " + word + b" "
+    return {padded[i : i + n] for n in RUN_LENGTHS for i in range(len(padded) - n + 1)}
 
 
 def train_dictionary(size: int, samples: list[bytes], cover: int) -> bytes:
