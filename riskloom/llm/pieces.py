@@ -272,7 +272,7 @@ class Pieces:
         sizes = self.begins[numbers + 1] - begins
         ends = np.r_[0, np.cumsum(sizes)]
         ids = self.flat[np.repeat(begins - ends[:-1], sizes) + np.arange(ends[-1])]
-        return ids, ends[np.r_[0, np.cumsum([len(w) for w in chunks])]]
+        return ids, ends[np.r_[0, np.cumsum([len(w) for w in chunks], dtype=np.int64)]]
 
     def decode(self, ids: list[int]) -> str:
         """The text of a row of ids: byte pieces joined to characters, the added first space taken off."""

@@ -221,7 +221,8 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
     texts = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")
     rows = texts.withColumn("draw", draw).select("draw", "doc_id", "text", (F.col("toxic") > 0).cast("int").alias("y")).collect()
     rows.sort(key=lambda r: (r["draw"], r["doc_id"], r["text"]))
-    return fit([(r["text"], r["y"]) for r in rows], max(tally.get(True, 0), 0.5) / max(tally.get(False, 0), 0.5))
+    toxic, ordinary = tally.get(True, 0), tally.get(False, 0)
+    return fit([(r["text"], r["y"]) for r in rows], max(toxic, 1e-9) / max(ordinary, 1e-9 if toxic else 1.0))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
