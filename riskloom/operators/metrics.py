@@ -69,15 +69,19 @@ def recent_history(
 ) -> DataFrame:
     """The rows a bounded history still holds after all rows were pushed in ``order``.
 
-    ``order`` starts with a timestamp. Rows are first counted per minute; only the latest minutes
-    that together hold the cap can matter, so the window is left with little more than the cap per
-    key, however many rows and tasks there were.
+    ``order`` starts with a timestamp. Without keys, the newest rows of each task are all that meet.
+    With keys, rows are first counted per minute; only the latest minutes that together hold the cap
+    can matter, so the window is left with little more than the cap per key.
     """
     cap = HISTORY_CAPS[kind]
-    group = list(keys) or ["_all"]
-    data = (df if keys else df.withColumn("_all", F.lit(0))).withColumn(
-        "_minute", F.date_trunc("minute", F.col(order[0]).cast("timestamp"))
-    )
+    if not keys:
+        # Every task keeps its own newest rows, so what meets in one place is bounded by the cap.
+        pushed = df.agg(F.count("*").alias("n")).scalar()
+        newest = df.orderBy(*[F.desc(c) for c in order]).limit(cap)
+        aged = newest.withColumn("_age", F.row_number().over(W.partitionBy().orderBy(*[F.desc(c) for c in order])))
+        return aged.filter(F.col("_age") <= retained(pushed, cap)).select(*df.columns)
+    group = list(keys)
+    data = df.withColumn("_minute", F.date_trunc("minute", F.col(order[0]).cast("timestamp")))
     minutes = data.groupBy(*group, "_minute").agg(F.count("*").alias("n"))
     later = W.partitionBy(*group).orderBy(F.desc("_minute")).rowsBetween(W.unboundedPreceding, -1)
     reach = (

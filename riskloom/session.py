@@ -38,7 +38,30 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="riskloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made(spark).append(path)
+    return path
+
+
+def _made(spark: SparkSession) -> list[str]:
+    context = spark.sparkContext
+    if not hasattr(context, "_riskloom_made"):
+        context._riskloom_made = []
+    return context._riskloom_made
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what :func:`work_dir` handed out, checkpoints included, and return how many folders went.
+
+    For the owner of a session, once nothing that was read from them is needed any more.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = 0
+    for path in _made(spark):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(folder.getFileSystem(conf).delete(folder, True))
+    _made(spark).clear()
+    return gone
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
