@@ -44,10 +44,29 @@ def _once(df: DataFrame, name: str, column: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(column)).alias(name))
 
 
-def _get(name: str, sql_type: str) -> str:
-    """A field's value in either spelling, as SQL text."""
-    spellings = [f"try_variant_get(doc, '$[0].{s}', '{sql_type}')" for s in (name, FIELD_ALIASES[name])]
-    return f"coalesce({', '.join(spellings)})"
+def _typed() -> Column:
+    """All fields of a message in one pass over it, by name; the second spelling only if the first leaves gaps.
+
+    What does not have its type is null. Whether it may be is decided elsewhere.
+    """
+
+    def read(spelling: dict[str, str], more: str = "") -> str:
+        fields = ", ".join(f"`{spelling[n]}`: {_SQL_TYPES.get(n, 'double')}" for n in FIELD_ALIASES)
+        return f"try_variant_get(doc, '$[0]', 'struct<{fields}{more}>')"
+
+    def named(source: str, spelling: dict[str, str]) -> str:
+        return ", ".join(f"{source}.`{spelling[n]}` as {n}" for n in FIELD_ALIASES)
+
+    plain = {n: n for n in FIELD_ALIASES}
+    gaps = " or ".join(f"p.{n} is null" for n in FIELD_ALIASES)
+    both = ", ".join(f"coalesce(p.{n}, u.`{FIELD_ALIASES[n]}`) as {n}" for n in FIELD_ALIASES)
+    upper = read(FIELD_ALIASES)
+    # Going through one-element arrays gives each pass a name, so that none is repeated per field.
+    return F.expr(
+        f"transform(array({read(plain, ', timestamp: string')}), p -> "
+        f"transform(array(case when p is null or {gaps} then {upper} end), u -> "
+        f"struct({both}, p.timestamp as timestamp))[0])[0]"
+    )
 
 
 def _field_kinds() -> Column:
@@ -123,10 +142,10 @@ def _is_usual() -> Column:
     Whatever does not pass is looked at field by field, so this decides speed, not the outcome.
     """
     shape = F.col("kind").rlike(f"^({_usual_shape(False)}|{_usual_shape(True)})$")
-    whole = " and ".join(f"{_get(n, 'int')} is not null" for n in INTEGER_FIELDS)
-    finite = " and ".join(f"abs({_get(n, 'double')}) < double('infinity')" for n in DOUBLE_FIELDS)
-    text = F.expr("try_variant_get(doc, '$[0].timestamp', 'string')")
-    time = F.expr("try_variant_get(doc, '$[0].timestamp', 'variant') is null") | F.coalesce(_is_time(text), F.lit(False))
+    whole = " and ".join(f"typed.{n} is not null" for n in INTEGER_FIELDS)
+    finite = " and ".join(f"abs(typed.{n}) < double('infinity')" for n in DOUBLE_FIELDS)
+    # A timestamp that is there but no text does not have the usual shape.
+    time = F.col("typed.timestamp").isNull() | F.coalesce(_is_time(F.col("typed.timestamp")), F.lit(False))
     return F.coalesce(shape & F.expr(whole) & F.expr(finite) & time, F.lit(False))
 
 
@@ -142,17 +161,14 @@ def decode_transactions(messages: DataFrame, column: str = "value") -> DataFrame
     parsed = _once(messages, "doc", _document(F.col(column)))
     kind = F.expr("schema_of_variant(try_variant_get(doc, '$[0]', 'variant'))")
     is_single = F.expr("try_variant_get(doc, '$[1]', 'variant') is null")
-    opened = _once(parsed, "kind", F.when(is_single, kind))
+    opened = _once(_once(parsed, "kind", F.when(is_single, kind)), "typed", _typed())
     is_object = F.coalesce(F.col("kind").startswith("OBJECT"), F.lit(False))
     reason = F.when(~is_object, "malformed").when(~_is_usual(), _fault())
-    time = F.try_to_timestamp(F.upper(F.expr("try_variant_get(doc, '$[0].timestamp', 'string')")))
+    time = F.try_to_timestamp(F.upper(F.col("typed.timestamp")))
     names = {*FIELD_ALIASES, "timestamp"}
     return opened.select(
         *[F.col(c) for c in messages.columns if c.lower() not in names],
-        *[
-            F.expr(f"{_get(n, _SQL_TYPES.get(n, 'double'))} as {n}")
-            for n in FIELD_ALIASES
-        ],
+        *[F.col(f"typed.{n}").alias(n) for n in FIELD_ALIASES],
         F.coalesce(time, F.current_timestamp()).alias("timestamp"),
         reason.alias("reject_reason"),
     )
