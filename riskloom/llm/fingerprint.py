@@ -28,6 +28,8 @@ WINDOW = 64
 POPULAR = 16
 #: Levels that entropies are rounded to.
 LEVELS = 1024
+#: Slices of the documents in order of id; a slice is streamed, so more are needed for parallel work only.
+MOST_SLICES = 4000
 #: A Bloom filter: its bits, bits set by a feature, and features until the next one begins.
 FILTER_BITS = 2048
 HASHES = 5
@@ -208,7 +210,7 @@ def in_order(docs: DataFrame, slices_per_task: int = 4) -> DataFrame:
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    steps = parts * slices_per_task
+    steps = min(parts * slices_per_task, MOST_SLICES)
     place = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
     ids = docs.select("doc_id").withColumn("place", place)
     cuts = ids.approxQuantile("place", [i / steps for i in range(1, steps)], 1 / (4 * steps))
