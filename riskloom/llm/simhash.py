@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import map_arrow, settled, text_bytes
+from riskloom.llm.common import map_arrow, settled, table, text_bytes
 from riskloom.llm.components import components
 from riskloom.session import shuffle_partitions
 
@@ -252,7 +252,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from riskloom.llm.common import table
-
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
