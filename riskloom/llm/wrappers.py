@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import map_arrow, table
+from riskloom.llm.common import map_arrow, settled, table
 from riskloom.session import shuffle_partitions
 
 # Elements without an end, with raw text, and those that stand in a line of text.
@@ -61,6 +61,8 @@ MOST_DEPTH = 100
 MOST_CHILDREN = 32
 #: Templates of one host that a task merges at a time.
 FAN_IN = 64
+#: Rules of all hosts up to this many characters are sent to every task.
+BROADCAST_CHARS = 8_000_000
 #: A child takes over from its parent as the article's place if it holds this share of its varying text.
 HOLDS = 0.6
 
@@ -392,7 +394,12 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", pag
     """(page_id, url, text, path) per page row; text is empty if there is no article or no html."""
     chosen = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     placed = chosen.withColumn("host", host_of(F.col("url")))
-    found = placed.join(wrappers(placed).select("host", "path"), "host", "left").select("page_id", "url", "html", "path")
+    rules = settled(wrappers(placed).select("host", "path"))
+    size = rules.agg(F.coalesce(F.sum(F.length("host") + F.length("path")), F.lit(0))).first()[0]
+    # Rules that are measured to be small go to the pages; otherwise pages and rules meet by host, and
+    # the engine splits a host that is too large for a task.
+    rules = F.broadcast(rules) if size <= BROADCAST_CHARS else rules.hint("merge")
+    found = placed.join(rules, "host", "left").select("page_id", "url", "html", "path")
     kinds = {f.name: f.dataType.simpleString() for f in chosen.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

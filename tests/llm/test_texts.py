@@ -190,6 +190,12 @@ def test_induced_wrapper(spark, n):
     assert found == {i: main_text(i) for i in range(n)}
 
 
+def test_large_rule_tables_join_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "BROADCAST_CHARS", 0)
+    found = {r["page_id"]: r["text"] for r in wrappers.main_texts(pages_of(spark, 12)).collect()}
+    assert found == {i: main_text(i) for i in range(12)}
+
+
 def test_wrapper_is_of_the_host(spark):
     rows = wrappers.wrappers(pages_of(spark, 30).repartition(4)).collect()
     assert [(r["host"], r["path"].split("\n")[-1], r["pages"]) for r in rows] == [("h.example", "div.content", 30)]
