@@ -28,9 +28,11 @@ MODEL = "piece_bpe_32k.model"
 #: The mark that stands for a space.
 MARK = "▁"
 #: Words whose pieces a task keeps before it starts anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 1_000_000
 #: Characters that are indexed at a time.
 INDEXED = 250_000
+#: Bytes of text that are encoded at a time.
+PART_BYTES = 4_000_000
 #: Characters that may precede a point inside pieces.
 MOST_BEFORE = 16
 #: Pairs of pieces whose verdict a task keeps.
@@ -189,33 +191,30 @@ class Pieces:
     def relax(self, words: list[str]) -> list[list[int]]:
         """Ids of each word."""
         text = "".join(w + "\0" for w in words)
-        starts, pieces = self.edges(text)
-        names = [self.names[i] for i in pieces.tolist()]
-        last: list[str | None] = [None] * (len(text) + 1)
-        firsts = set()
+        starts, rows = self.edges(text)
+        ends = starts + self.piece_sizes[rows]
+        names = list(map(self.names.__getitem__, rows.tolist()))
+        # Characters that are no piece stand for themselves.
+        if odd := set(text) - self.ids.keys() - {"\0"}:
+            places = [j for j, c in enumerate(text) if c in odd]
+            names += [text[j] for j in places]
+            starts, ends = np.r_[starts, places], np.r_[ends, np.array(places) + 1]
+            order = np.argsort(starts, kind="stable")
+            starts, ends, names = starts[order], ends[order], [names[k] for k in order.tolist()]
+        last: list[str | None] = [None] * (len(text) + 1)  # the piece that ends there; "" where a word begins
         at = 0
         for w in words:
-            firsts.add(at)
+            last[at] = ""
             at += len(w) + 1
-        pairs = self.pairs
-        reached = -1
-        for i, piece in zip(starts.tolist(), names, strict=True):
-            if i > reached:
-                # Characters that are no piece stand for themselves and merge with nothing.
-                for j in range(max(reached, 0), i):
-                    if last[j + 1] is None and text[j] not in self.ids:
-                        last[j + 1] = text[j]
-                reached = i
+        verdict, follows = self.pairs.get, self.follows
+        for i, j, piece in zip(starts.tolist(), ends.tolist(), names, strict=True):
             before = last[i]
-            if i in firsts or before is None and i == 0:
-                last[i + len(piece)] = piece
+            if before:
+                ok = verdict((before, piece))
+                if ok or ok is None and follows(before, piece):
+                    last[j] = piece
             elif before is not None:
-                ok = pairs.get((before, piece))
-                if ok or ok is None and self.follows(before, piece):
-                    last[i + len(piece)] = piece
-        for j in range(max(reached, 0), len(text)):
-            if last[j + 1] is None and text[j] not in self.ids:
-                last[j + 1] = text[j]
+                last[j] = piece
         out, at = [], 0
         for w in words:
             out.append(self._path(text, last, at, at + len(w)))
@@ -227,7 +226,7 @@ class Pieces:
         i = end
         while i > begin:
             piece = last[i]
-            if piece is None or len(piece) > i - begin:
+            if not piece or len(piece) > i - begin:
                 parts = self.merged(text[begin:end])[::-1]
                 break
             parts.append(piece)
@@ -285,11 +284,11 @@ def pieces(path: str) -> Pieces:
 
 
 def _parts(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut where the column at ``place`` holds about BLOCK_BYTES."""
+    """Batches cut where the column at ``place`` holds about PART_BYTES."""
     for batch in batches:
         column = batch.column(place)
         sizes = (pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length)(column)
-        for a, b in blocks(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)):
+        for a, b in blocks(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False), PART_BYTES):
             yield batch.slice(a, b - a)
 
 
