@@ -28,7 +28,7 @@ MODEL = "piece_bpe_32k.model"
 #: The mark that stands for a space.
 MARK = "▁"
 #: Words whose pieces a task keeps before it starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
 #: Characters that are indexed at a time.
 INDEXED = 250_000
 #: Bytes of text that are encoded at a time.
@@ -36,7 +36,7 @@ PART_BYTES = 4_000_000
 #: Characters that may precede a point inside pieces.
 MOST_BEFORE = 16
 #: Pairs of pieces whose verdict a task keeps.
-KEPT_PAIRS = 500_000
+KEPT_PAIRS = 300_000
 
 
 def default_model() -> str:
