@@ -36,12 +36,24 @@ class Rule:
     fold: bool = False
 
 
+# A private key's first or last line; what lies between them; and, without a last line, the header
+# fields and base64 that follow, of which only the last lines may be short. Lines may be quoted,
+# indented, or joined by escapes. Repeats are possessive, so time is in proportion to the text.
+_KEY = "-----{} (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----"
+_TO_END = r"(?:[^-]++|-(?!----(?:BEGIN|END) ))*+" + _KEY.format("END")
+_BREAK = r"(?:\s|\\[nrt]|[\"'+,>#*|])*?"
+_LINE_END = r"(?=[\"',;]*(?:\\[nr]|[ \t\r]*(?:\n|\Z)))"
+_TO_LAST = (
+    rf"(?:{_BREAK}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\n\\]*+)*+"
+    rf"(?:(?:{_BREAK}[A-Za-z0-9+/]{{24,}}+={{0,2}})++(?:{_BREAK}[A-Za-z0-9+/]++(?:={{1,2}}|{_LINE_END}))?+(?:{_BREAK}=[A-Za-z0-9+/]{{4}}{_LINE_END})?+)?+"
+)
+
 # The kinds and patterns of secrets, in the order in which equal spans are listed.
 RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2, True),
     Rule("access", r"AKIA[A-Z0-9]+", 18),
     Rule("hex", r"[0-9a-f]+", 16),
-    Rule("private", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
+    Rule("private", _KEY.format("BEGIN") + rf"(?:{_TO_END}|{_TO_LAST})"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 20),
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30),
