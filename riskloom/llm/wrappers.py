@@ -63,11 +63,15 @@ MOST_CHILDREN = 32
 FAN_IN = 64
 #: Rules of all hosts up to this many characters are sent to every task.
 BROADCAST_CHARS = 8_000_000
+#: Elements that say that the article is near.
+HEADED = frozenset(("h1", "main"))
+#: A part with a telling name holds the articles if it has so many times the text outside of such parts.
+NAMED = 2
 #: A child takes over from its parent as the article's place if it holds this share of its varying text.
 HOLDS = 0.6
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s>/]*)[^>]*>|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_ATTRIBUTE = re.compile(r"(class|id|role|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s>/]|$)[^>]*>?", re.IGNORECASE) for name in RAW}
 _SPACE = re.compile(r"\s+")
 
@@ -139,14 +143,29 @@ def parse(page: str) -> Block:
 def _block(name: str, attributes: str) -> Block:
     label, never = name, name in NEVER
     if attributes and not attributes.isspace():
-        found = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in _ATTRIBUTE.finditer(attributes)}
-        names = f"{found.get('class', '')} {found.get('id', '')}".strip()
+        found: dict[str, str] = {}
+        for m in _ATTRIBUTE.finditer(attributes):
+            found.setdefault(m[1].lower(), next((x for x in m.groups()[1:] if x is not None), ""))
         never |= found.get("role", "").lower() in NEVER_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-        never |= bool(names) and name not in PLACES and name != "body" and NEVER_NAMES.search(names) is not None
-        label = f"{name}.{found['class'].strip()}" if found.get("class", "").strip() else name
+        classes = found.get("class", "").split()
+        ids = [x for x in found.get("id", "").split() if x not in classes and NEVER_NAMES.search(x)]
+        label = f"{name}.{' '.join([*classes, *ids])}" if classes or ids else name
     return Block(name, label, never)
 
 
+@functools.lru_cache(maxsize=100_000)
+def telling(label: str, spared: frozenset[str] = frozenset()) -> frozenset[str]:
+    """Class names and ids in a label that say that its node is not the article's.
+
+    Those of ``spared`` say nothing, and what begins with one of them is told by its rest.
+    """
+    name, _, names = label.partition(".")
+    if name in PLACES or name == "body":
+        return frozenset()
+    rest = lambda x: next((x[len(y) :] for y in sorted(spared, key=len, reverse=True) if x == y or x.startswith((y + "-", y + "_"))), x)
+    return frozenset(x for x in names.split() if NEVER_NAMES.search(rest(x)))
+
+
 def _close(path: list[Block], name: str) -> None:
     for i in range(len(path) - 1, 0, -1):
         if path[i].tag == name:
@@ -171,16 +190,16 @@ def plain(parts: list[str]) -> str:
     return _SPACE.sub(" ", html.unescape("".join(parts))).strip()
 
 
-# A template node is a list, which travels as JSON: label, never, pages, hash of its constant text or -1
+# A template node is a list, which travels as JSON: label, pages, hash of its constant text or -1
 # once it varied, characters that varied, characters in links, children.
-LABEL, NEVER_, PAGES, SAME, VARIED, LINKED, CHILDREN = range(7)
+LABEL, PAGES, SAME, VARIED, LINKED, CHILDREN = range(6)
 
 
 def skeleton(block: Block) -> list:
-    """The template of a single page; runs of siblings with one label are one node."""
+    """The template of a single page without what is never an article's; runs of siblings with one label are one node."""
     own = "".join(p for p in block.parts if isinstance(p, str)).strip()
-    children = _runs([skeleton(part) for part in block.parts if isinstance(part, Block)])
-    return [block.label, int(block.never), 1, zlib.crc32(own.encode("utf-8", "replace")), len(own), block.linked, children]
+    children = _runs([skeleton(part) for part in block.parts if isinstance(part, Block) and not part.never])
+    return [block.label, 1, zlib.crc32(own.encode("utf-8", "replace")), len(own), block.linked, children]
 
 
 def _matching(a: list, b: list) -> int:
@@ -221,7 +240,7 @@ def merge(a: list, b: list, along: bool = True) -> list:
         children = _runs(out[::-1])
     same = a[SAME] if along and a[SAME] == b[SAME] else -1
     pages = a[PAGES] + b[PAGES] if along else a[PAGES]
-    return [a[LABEL], a[NEVER_] | b[NEVER_], pages, same, a[VARIED] + b[VARIED], a[LINKED] + b[LINKED], children]
+    return [a[LABEL], pages, same, a[VARIED] + b[VARIED], a[LINKED] + b[LINKED], children]
 
 
 def _runs(children: list[list]) -> list[list]:
@@ -239,7 +258,36 @@ def _runs(children: list[list]) -> list[list]:
     return out
 
 
-def place_of(template: list) -> list[str]:
+def spared_names(template: list) -> frozenset[str]:
+    """Telling names that a host's articles stand in, so that they tell nothing there.
+
+    From the root, a part with a telling name is entered if it holds more than ``NAMED`` times the
+    varying, unlinked text that stands outside of all such parts; a first heading or main element
+    counts as four times the text.
+    """
+    spared: frozenset[str] = frozenset()
+    while True:
+        inside: dict[frozenset[str], list] = {}
+
+        def look(node: list, names: frozenset[str], most: list) -> None:
+            more = telling(node[LABEL], spared)
+            if more and not names:
+                names, most = more, inside.setdefault(more, [0, 1])
+            most[0] += _own_slots(node, template[PAGES])
+            if node[LABEL].split(".")[0] in HEADED:
+                most[1] = 4
+            for c in node[CHILDREN]:
+                look(c, names, most)
+
+        outside = [0, 1]
+        look(template, frozenset(), outside)
+        weight, names = max(((n * k, sorted(x)) for x, (n, k) in inside.items()), default=(0, []))
+        if not weight or weight <= NAMED * outside[0] * outside[1]:
+            return spared
+        spared |= frozenset(names)
+
+
+def place_of(template: list, spared: frozenset[str] = frozenset()) -> list[str]:
     """Labels from the root to the part that holds the articles.
 
     From the root, the child that holds most of the varying, unlinked text takes over as long as that is
@@ -249,13 +297,13 @@ def place_of(template: list) -> list[str]:
     path = [template[LABEL]]
     node = template
     while True:
-        inner = [c for c in node[CHILDREN] if not c[NEVER_]]
-        weighed = [(_slots(c, node[PAGES]) * (2 if c[LABEL].split(".")[0] in PLACES else 1), -i) for i, c in enumerate(inner)]
+        inner = [c for c in node[CHILDREN] if not telling(c[LABEL], spared)]
+        weighed = [(_slots(c, node[PAGES], spared) * (2 if c[LABEL].split(".")[0] in PLACES else 1), -i) for i, c in enumerate(inner)]
         if not weighed:
             break
         most, i = max(weighed)
         chosen = inner[-i]
-        if not most or most < HOLDS * _slots(node, node[PAGES]) or not chosen[CHILDREN] or chosen[LABEL].split(".")[0] in ENDS_AT:
+        if not most or most < HOLDS * _slots(node, node[PAGES], spared) or not chosen[CHILDREN] or chosen[LABEL].split(".")[0] in ENDS_AT:
             break
         path.append(chosen[LABEL])
         node = chosen
@@ -268,10 +316,13 @@ def place_of(template: list) -> list[str]:
 ENDS_AT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure tr tbody".split())
 
 
-def _slots(node: list, pages: int) -> int:
+def _own_slots(node: list, pages: int) -> int:
+    return max(0, node[VARIED] - node[LINKED]) if node[SAME] == -1 or pages == 1 else 0
+
+
+def _slots(node: list, pages: int, spared: frozenset[str]) -> int:
     """Characters outside of links that varied over pages; on a single page all text counts."""
-    own = max(0, node[VARIED] - node[LINKED]) if node[SAME] == -1 or pages == 1 else 0
-    return own + sum(_slots(c, pages) for c in node[CHILDREN] if not c[NEVER_])
+    return _own_slots(node, pages) + sum(_slots(c, pages, spared) for c in node[CHILDREN] if not telling(c[LABEL], spared))
 
 
 def constants(template: list, path: list[str]) -> list[int]:
@@ -290,16 +341,18 @@ def constants(template: list, path: list[str]) -> list[int]:
     return sorted(found)
 
 
-def extract(page: str, path: list[str]) -> str:
+def extract(page: str, path: list[str], spared: frozenset[str] = frozenset()) -> str:
     """The article's text: blocks in page order under ``path``, without what is never part of one.
 
     A page on which the path leads nowhere is read by its own tree.
     """
     root = parse(page)
     places = _under(root, path)
-    if not any(_texts(p) for p in places):
-        places = _under(root, place_of(skeleton(root)))
-    return " ".join(t for p in places for t in _texts(p))
+    if not any(_texts(p, spared) for p in places):
+        own = skeleton(root)
+        spared |= spared_names(own)
+        places = _under(root, place_of(own, spared))
+    return " ".join(t for p in places for t in _texts(p, spared))
 
 
 def _under(block: Block, path: list[str]) -> list[Block]:
@@ -309,7 +362,7 @@ def _under(block: Block, path: list[str]) -> list[Block]:
     return found
 
 
-def _texts(block: Block) -> list[str]:
+def _texts(block: Block, spared: frozenset[str]) -> list[str]:
     """Texts of a block and those inside it, in order."""
     out: list[str] = []
     run: list[str] = []
@@ -320,8 +373,8 @@ def _texts(block: Block) -> list[str]:
         if run and (text := plain(run)):
             out.append(text)
         run = []
-        if part is not None and not part.never:
-            out += _texts(part)
+        if part is not None and not part.never and not telling(part.label, spared):
+            out += _texts(part, spared)
     return out
 
 
@@ -361,11 +414,13 @@ def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         trees = [json.loads(t) for t in batch.column(1).to_pylist()]
-        paths = [place_of(t) for t in trees]
+        spared = [spared_names(t) for t in trees]
+        paths = [place_of(t, x) for t, x in zip(trees, spared, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(["\n".join(p) for p in paths], pa.string()), pa.array([t[PAGES] for t in trees], pa.int64()),
-             pa.array([len(constants(t, p)) for t, p in zip(trees, paths, strict=True)], pa.int64())],
-            ["host", "path", "pages", "constant"],
+             pa.array([len(constants(t, p)) for t, p in zip(trees, paths, strict=True)], pa.int64()),
+             pa.array([" ".join(sorted(x)) for x in spared], pa.string())],
+            ["host", "path", "pages", "constant", "spared"],
         )
 
 
@@ -374,7 +429,7 @@ def host_of(url):
 
 
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """(host, path, pages, constant): where each host keeps its articles, learned from all its pages."""
+    """(host, path, pages, constant, spared): where each host keeps its articles, learned from all its pages."""
     schema = "host string, tree string"
     parts = map_arrow(pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("html")), _induce, schema)
     n = shuffle_partitions(pages.sparkSession)
@@ -382,7 +437,7 @@ def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFram
     spread = parts.withColumn("part", F.pmod(F.xxhash64("tree"), F.lit(FAN_IN)))
     near = spread.repartition(n, "host", "part").sortWithinPartitions("host", "part", "tree").select("host", "tree")
     whole = map_arrow(near, _join, schema).repartition(n, "host").sortWithinPartitions("host", "tree")
-    return map_arrow(map_arrow(whole, _join, schema), _choose, "host string, path string, pages long, constant long")
+    return map_arrow(map_arrow(whole, _join, schema), _choose, "host string, path string, pages long, constant long, spared string")
 
 
 @functools.lru_cache(maxsize=100_000)
@@ -390,21 +445,27 @@ def _labels(path: str | None) -> list[str]:
     return path.split("\n") if path else []
 
 
+@functools.lru_cache(maxsize=100_000)
+def _names(spared: str | None) -> frozenset[str]:
+    return frozenset((spared or "").split())
+
+
 def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """(page_id, url, text, path) per page row; text is empty if there is no article or no html."""
     chosen = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     placed = chosen.withColumn("host", host_of(F.col("url")))
-    rules = settled(wrappers(placed).select("host", "path"))
-    size = rules.agg(F.coalesce(F.sum(F.length("host") + F.length("path")), F.lit(0))).first()[0]
+    rules = settled(wrappers(placed).select("host", "path", "spared"))
+    size = rules.agg(F.coalesce(F.sum(F.length("host") + F.length("path") + F.length("spared")), F.lit(0))).first()[0]
     # Rules that are measured to be small go to the pages; otherwise pages and rules meet by host, and
     # the engine splits a host that is too large for a task.
     rules = F.broadcast(rules) if size <= BROADCAST_CHARS else rules.hint("merge")
-    found = placed.join(rules, "host", "left").select("page_id", "url", "html", "path")
+    found = placed.join(rules, "host", "left").select("page_id", "url", "html", "path", "spared")
     kinds = {f.name: f.dataType.simpleString() for f in chosen.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(p or "", _labels(path)) for p, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            rows = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)
+            texts = [extract(p or "", _labels(path), _names(spared)) for p, path, spared in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), batch.column(3)], ["page_id", "url", "text", "path"])
 
     return map_arrow(found, run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, path string")

@@ -235,6 +235,23 @@ def test_odd_pages(spark):
     assert wrappers.main_texts(frame.limit(0)).count() == 0
 
 
+def texts_of(spark, bodies):
+    rows = [(i, f"https://h.example/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    found = wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+@pytest.mark.parametrize("attributes", ['class="article" style="overflow:hidden"', 'data-x="hidden-xs"', 'class="content-sidebar-wrap"', 'class="post no-sidebar"', 'class="social-share-enabled"', 'class="elementor-widget x-post-content"', 'id="has-sidebar"'])
+def test_values_and_names_do_not_hide_articles(spark, attributes):
+    page = '<div {a}><h1>Title {i}</h1><p>Body {i} {b}</p><div hidden>secret {i}</div><div class="comments">said {i} {b}</div></div><div class="sidebar">aside {i}</div>'
+    bodies = [page.format(a=attributes, i=i, b=f"text{i} " * 9) for i in range(5)]
+    assert texts_of(spark, bodies) == [f"Title {i} Body {i} {(f'text{i} ' * 9).strip()}" for i in range(5)]
+
+
+def test_styled_body_keeps_its_text():
+    assert wrappers.extract('<body style="overflow-x:hidden"><p>One</p></body>', []) == "One"
+
+
 def test_page_query(spark, sf_dir):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in wrappers.query(spark, sf_dir).collect():
