@@ -4,7 +4,7 @@ Pages of a host share a template. Each page becomes a tree of its blocks, in whi
 siblings is one repeated node. Trees of the same host are aligned by simple tree matching and merged
 into one template tree, which counts for every node on how many pages it occurs, whether its text
 stayed the same, how much text it held and how much of that was link text. Nodes whose text varies
-are the slots; the part of the tree that holds nearly all varying text outside of navigation is where
+are the slots; the lowest part of the tree that holds all varying text outside of navigation is where
 the host keeps its articles. Constant nodes outside of it are template and dropped.
 
 Merging is associative up to alignment: tasks merge what they read, their templates meet in groups of
@@ -67,8 +67,6 @@ BROADCAST_CHARS = 8_000_000
 HEADED = frozenset(("h1", "main"))
 #: A part with a telling name holds the articles if it has so many times the text outside of such parts.
 NAMED = 2
-#: A child takes over from its parent as the article's place if it holds this share of its varying text.
-HOLDS = 0.6
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s>/]*)[^>]*>|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -273,8 +271,8 @@ def spared_names(template: list) -> frozenset[str]:
             more = telling(node[LABEL], spared)
             if more and not names:
                 names, most = more, inside.setdefault(more, [0, 1])
-            most[0] += _own_slots(node, template[PAGES])
-            if node[LABEL].split(".")[0] in HEADED:
+            most[0] += _own_slots(node)
+            if _tag(node) in HEADED:
                 most[1] = 4
             for c in node[CHILDREN]:
                 look(c, names, most)
@@ -288,41 +286,37 @@ def spared_names(template: list) -> frozenset[str]:
 
 
 def place_of(template: list, spared: frozenset[str] = frozenset()) -> list[str]:
-    """Labels from the root to the part that holds the articles.
+    """Labels from the root to the lowest part that holds all varying, unlinked text.
 
-    From the root, the child that holds most of the varying, unlinked text takes over as long as that is
-    ``HOLDS`` of what its parent holds; an article or main element counts double. Never into a
-    paragraph: where text lies in leaves, their parent is the place.
+    Parts with a telling name do not count. Never into a paragraph: where text lies in leaves, their
+    parent is the place; nor into an article element.
     """
     path = [template[LABEL]]
     node = template
-    while True:
-        inner = [c for c in node[CHILDREN] if not telling(c[LABEL], spared)]
-        weighed = [(_slots(c, node[PAGES], spared) * (2 if c[LABEL].split(".")[0] in PLACES else 1), -i) for i, c in enumerate(inner)]
-        if not weighed:
-            break
-        most, i = max(weighed)
-        chosen = inner[-i]
-        if not most or most < HOLDS * _slots(node, node[PAGES], spared) or not chosen[CHILDREN] or chosen[LABEL].split(".")[0] in ENDS_AT:
-            break
-        path.append(chosen[LABEL])
-        node = chosen
-        if node[LABEL].split(".")[0] == "article":
+    while _tag(node) != "article" and not _own_slots(node):
+        holds = [c for c in node[CHILDREN] if not telling(c[LABEL], spared) and _slots(c, spared)]
+        if len(holds) != 1 or not holds[0][CHILDREN] or _tag(holds[0]) in ENDS_AT:
             break
+        node = holds[0]
+        path.append(node[LABEL])
     return path
 
 
+def _tag(node: list) -> str:
+    return node[LABEL].split(".")[0]
+
+
 #: The article's place is above these.
 ENDS_AT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure tr tbody".split())
 
 
-def _own_slots(node: list, pages: int) -> int:
-    return max(0, node[VARIED] - node[LINKED]) if node[SAME] == -1 or pages == 1 else 0
+def _own_slots(node: list) -> int:
+    return max(0, node[VARIED] - node[LINKED]) if node[SAME] == -1 or node[PAGES] == 1 else 0
 
 
-def _slots(node: list, pages: int, spared: frozenset[str]) -> int:
-    """Characters outside of links that varied over pages; on a single page all text counts."""
-    return _own_slots(node, pages) + sum(_slots(c, pages, spared) for c in node[CHILDREN] if not telling(c[LABEL], spared))
+def _slots(node: list, spared: frozenset[str]) -> int:
+    """Characters outside of links that varied over pages; all of what is on a single page counts."""
+    return _own_slots(node) + sum(_slots(c, spared) for c in node[CHILDREN] if not telling(c[LABEL], spared))
 
 
 def constants(template: list, path: list[str]) -> list[int]:

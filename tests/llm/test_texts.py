@@ -248,6 +248,20 @@ def test_values_and_names_do_not_hide_articles(spark, attributes):
     assert texts_of(spark, bodies) == [f"Title {i} Body {i} {(f'text{i} ' * 9).strip()}" for i in range(5)]
 
 
+def test_widgets_beside_the_article_are_told_apart(spark):
+    widget = '<div class="elementor-widget elementor-widget-{}">{}</div>'
+    parts = lambda i: [("heading", f"<h1>Title {i}</h1>"), ("text", f"<p>{f'text{i} ' * 9}</p>"), ("share-buttons", f"share {i}")]
+    assert texts_of(spark, ["<div class=wrap>" + "".join(widget.format(*x) for x in parts(i)) + "</div>" for i in range(4)]) == [f"Title {i} {(f'text{i} ' * 9).strip()}" for i in range(4)]
+
+
+def test_title_lead_and_sections_without_article_stay(spark):
+    long = lambda i: f"text{i} " * 30
+    whole = [f"<nav>n{i}</nav><main><h1>Title {i}</h1><div class=lead><p>Lead {i}</p></div><div class=text><p>{long(i)}</p></div></main>" for i in range(5)]
+    assert texts_of(spark, whole) == [f"Title {i} Lead {i} {long(i).strip()}" for i in range(5)]
+    sections = [f"<div id=page><div class=odd><p>{long(i)}</p></div><div class=even><p>b{i}</p></div><div class=odd><p>c{i}</p></div></div>" for i in range(5)]
+    assert texts_of(spark, sections) == [f"{long(i).strip()} b{i} c{i}" for i in range(5)]
+
+
 def test_styled_body_keeps_its_text():
     assert wrappers.extract('<body style="overflow-x:hidden"><p>One</p></body>', []) == "One"
 
