@@ -5,7 +5,8 @@ siblings is one repeated node. Trees of the same host are aligned by simple tree
 into one template tree, which counts for every node on how many pages it occurs, whether its text
 stayed the same, how much text it held and how much of that was link text. Nodes whose text varies
 are the slots; the lowest part of the tree that holds all varying text outside of navigation is where
-the host keeps its articles. Constant nodes outside of it are template and dropped.
+the host keeps its articles. Texts outside of it are template and dropped, and so are texts inside that
+nearly all pages of the host have; these are counted beside the tree, in bounded room.
 
 Merging is associative up to alignment: tasks merge what they read, their templates meet in groups of
 bounded size per host, and those in one per host, so that a host with a third of all pages is spread
@@ -15,6 +16,7 @@ over all tasks.
 from __future__ import annotations
 
 import functools
+import hashlib
 import html
 import json
 import re
@@ -63,6 +65,13 @@ MOST_CHILDREN = 32
 FAN_IN = 64
 #: Rules of all hosts up to this many characters are sent to every task.
 BROADCAST_CHARS = 8_000_000
+#: A text is template if so many pages or more were seen, this share of them has it, and it has so many
+#: characters: shorter ones, such as headings and list items, are the same by chance.
+CONSTANT_PAGES = 3
+CONSTANT_SHARE = 0.8
+CONSTANT_CHARS = 20
+#: Hashes of texts that are counted for a host.
+MOST_TEXTS = 4096
 #: Elements that say that the article is near.
 HEADED = frozenset(("h1", "main"))
 #: A part with a telling name holds the articles if it has so many times the text outside of such parts.
@@ -319,34 +328,55 @@ def _slots(node: list, spared: frozenset[str]) -> int:
     return _own_slots(node) + sum(_slots(c, spared) for c in node[CHILDREN] if not telling(c[LABEL], spared))
 
 
-def constants(template: list, path: list[str]) -> list[int]:
-    """Hashes of texts that are the same on all of several pages, outside of ``path``'s end."""
-    found: set[int] = set()
+# What travels beside a template: its pages, and per hash of a text on how many of them it is, at least.
+# Beyond MOST_TEXTS hashes the rarest go and all lose what those had, so that a count is too low by no
+# more than the number of all texts over MOST_TEXTS.
+
+
+def text_hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def texts_on(block: Block) -> set[int]:
+    """Hashes of the texts of a page that are long enough to be the same for a reason."""
+    found = {text_hash(t) for t in _runs_of(block) if t is not None and len(t) >= CONSTANT_CHARS}
+    for part in block.parts:
+        if isinstance(part, Block) and not part.never:
+            found |= texts_on(part)
+    return found
 
-    def look(node: list, rest: list[str]) -> None:
-        if rest == [node[LABEL]]:
-            return
-        if node[SAME] != -1 and template[PAGES] > 1:
-            found.add(node[SAME])
-        for c in node[CHILDREN]:
-            look(c, rest[1:] if rest and rest[0] == node[LABEL] else [])
 
-    look(template, path)
-    return sorted(found)
+def add_counts(into: dict[int, int], more: dict[int, int]) -> dict[int, int]:
+    for k, n in more.items():
+        into[k] = into.get(k, 0) + n
+    if len(into) > MOST_TEXTS:
+        less = sorted(into.values(), reverse=True)[MOST_TEXTS // 2]
+        into = {k: n - less for k, n in into.items() if n > less}
+    return into
 
 
-def extract(page: str, path: list[str], spared: frozenset[str] = frozenset()) -> str:
+def constants(pages: int, counts: dict[int, int]) -> list[int]:
+    """Hashes of texts that nearly all of several pages have."""
+    return sorted(k for k, n in counts.items() if pages >= CONSTANT_PAGES and n >= CONSTANT_SHARE * pages)
+
+
+def extract(page: str, path: list[str], spared: frozenset[str] = frozenset(), constant: frozenset[int] = frozenset()) -> str:
     """The article's text: blocks in page order under ``path``, without what is never part of one.
 
-    A page on which the path leads nowhere is read by its own tree.
+    Texts of ``constant`` are left out, unless all long ones are of it: such a page is a copy of others. A
+    page on which the path leads nowhere is read by its own tree.
     """
     root = parse(page)
-    places = _under(root, path)
-    if not any(_texts(p, spared) for p in places):
+    texts = [t for p in _under(root, path) for t in _texts(p, spared)]
+    if not texts:
         own = skeleton(root)
         spared |= spared_names(own)
-        places = _under(root, place_of(own, spared))
-    return " ".join(t for p in places for t in _texts(p, spared))
+        texts = [t for p in _under(root, place_of(own, spared)) for t in _texts(p, spared)]
+    if constant:
+        same = [len(t) >= CONSTANT_CHARS and text_hash(t) in constant for t in texts]
+        if any(len(t) >= CONSTANT_CHARS and not x for t, x in zip(texts, same, strict=True)):
+            texts = [t for t, x in zip(texts, same, strict=True) if not x]
+    return " ".join(texts)
 
 
 def _under(block: Block, path: list[str]) -> list[Block]:
@@ -356,63 +386,88 @@ def _under(block: Block, path: list[str]) -> list[Block]:
     return found
 
 
-def _texts(block: Block, spared: frozenset[str]) -> list[str]:
-    """Texts of a block and those inside it, in order."""
-    out: list[str] = []
+def _runs_of(block: Block) -> Iterator[str | None]:
+    """Texts of a block itself, and None for each block inside it, in order."""
     run: list[str] = []
     for part in [*block.parts, None]:
         if isinstance(part, str):
             run.append(part)
             continue
         if run and (text := plain(run)):
-            out.append(text)
+            yield text
         run = []
-        if part is not None and not part.never and not telling(part.label, spared):
+        if part is not None:
+            yield None
+
+
+def _texts(block: Block, spared: frozenset[str]) -> list[str]:
+    """Texts of a block and those inside it, in order."""
+    out: list[str] = []
+    inner = (part for part in block.parts if isinstance(part, Block))
+    for text in _runs_of(block):
+        if text is not None:
+            out.append(text)
+        elif not (part := next(inner)).never and not telling(part.label, spared):
             out += _texts(part, spared)
     return out
 
 
-def _merged(rows: Iterator[tuple[str, list]]) -> dict[str, list]:
-    kept: dict[str, list] = {}
-    for host, tree in rows:
-        kept[host] = merge(kept[host], tree) if host in kept else tree
-    return kept
+def _page(page: str) -> tuple[list, int, dict[int, int]]:
+    root = parse(page)
+    return skeleton(root), 1, dict.fromkeys(texts_on(root), 1)
+
+
+def _both(a: tuple[list, int, dict[int, int]], b: tuple[list, int, dict[int, int]]) -> tuple[list, int, dict[int, int]]:
+    return merge(a[0], b[0]), a[1] + b[1], add_counts(a[2], b[2])
 
 
-def _dump(kept: dict[str, list]) -> pa.RecordBatch:
+def _dump(kept: dict[str, tuple[list, int, dict[int, int]]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(kept), pa.string()), pa.array([json.dumps(t, separators=(",", ":")) for t in kept.values()], pa.string())], ["host", "tree"]
-    )
+        [pa.array(list(kept), pa.string()),
+         pa.array([json.dumps(t, separators=(",", ":")) for t, _, _ in kept.values()], pa.string()),
+         pa.array([n for _, n, _ in kept.values()], pa.int64()),
+         pa.array([list(c) for _, _, c in kept.values()], pa.list_(pa.int64())),
+         pa.array([list(c.values()) for _, _, c in kept.values()], pa.list_(pa.int64()))],
+        ["host", "tree", "pages", "texts", "counts"],
+    )
+
+
+def _load(batch: pa.RecordBatch) -> Iterator[tuple[str, tuple[list, int, dict[int, int]]]]:
+    for h, t, n, texts, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        yield h, (json.loads(t), n, dict(zip(texts, counts, strict=True)))
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:  # a batch's hosts are all that is held
-        yield _dump(_merged((h, skeleton(parse(p or ""))) for h, p in zip(*(c.to_pylist() for c in batch.columns), strict=True)))
+        kept: dict[str, tuple[list, int, dict[int, int]]] = {}
+        for h, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            kept[h] = _both(kept[h], _page(p or "")) if h in kept else _page(p or "")
+        yield _dump(kept)
 
 
 def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge templates of the same host that follow each other."""
-    host, tree = None, None
+    host, whole = None, None
     for batch in batches:
-        for h, t in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-            if h == host and tree is not None:
-                tree = merge(tree, json.loads(t))
+        for h, one in _load(batch):
+            if h == host and whole is not None:
+                whole = _both(whole, one)
                 continue
-            if tree is not None:
-                yield _dump({host: tree})
-            host, tree = h, json.loads(t)
-    if tree is not None:
-        yield _dump({host: tree})
+            if whole is not None:
+                yield _dump({host: whole})
+            host, whole = h, one
+    if whole is not None:
+        yield _dump({host: whole})
 
 
 def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        trees = [json.loads(t) for t in batch.column(1).to_pylist()]
-        spared = [spared_names(t) for t in trees]
-        paths = [place_of(t, x) for t, x in zip(trees, spared, strict=True)]
+        rows = [x for _, x in _load(batch)]
+        spared = [spared_names(t) for t, _, _ in rows]
+        paths = [place_of(t, x) for (t, _, _), x in zip(rows, spared, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(["\n".join(p) for p in paths], pa.string()), pa.array([t[PAGES] for t in trees], pa.int64()),
-             pa.array([len(constants(t, p)) for t, p in zip(trees, paths, strict=True)], pa.int64()),
+            [batch.column(0), pa.array(["\n".join(p) for p in paths], pa.string()), batch.column(2),
+             pa.array([constants(n, c) for _, n, c in rows], pa.list_(pa.int64())),
              pa.array([" ".join(sorted(x)) for x in spared], pa.string())],
             ["host", "path", "pages", "constant", "spared"],
         )
@@ -424,14 +479,14 @@ def host_of(url):
 
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """(host, path, pages, constant, spared): where each host keeps its articles, learned from all its pages."""
-    schema = "host string, tree string"
+    schema = "host string, tree string, pages long, texts array<long>, counts array<long>"
     parts = map_arrow(pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("html")), _induce, schema)
     n = shuffle_partitions(pages.sparkSession)
     # A host's templates first meet in FAN_IN groups by where they come from, then all together.
     spread = parts.withColumn("part", F.pmod(F.xxhash64("tree"), F.lit(FAN_IN)))
-    near = spread.repartition(n, "host", "part").sortWithinPartitions("host", "part", "tree").select("host", "tree")
+    near = spread.repartition(n, "host", "part").sortWithinPartitions("host", "part", "tree").drop("part")
     whole = map_arrow(near, _join, schema).repartition(n, "host").sortWithinPartitions("host", "tree")
-    return map_arrow(map_arrow(whole, _join, schema), _choose, "host string, path string, pages long, constant long, spared string")
+    return map_arrow(map_arrow(whole, _join, schema), _choose, "host string, path string, pages long, constant array<long>, spared string")
 
 
 @functools.lru_cache(maxsize=100_000)
@@ -448,18 +503,18 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", pag
     """(page_id, url, text, path) per page row; text is empty if there is no article or no html."""
     chosen = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     placed = chosen.withColumn("host", host_of(F.col("url")))
-    rules = settled(wrappers(placed).select("host", "path", "spared"))
-    size = rules.agg(F.coalesce(F.sum(F.length("host") + F.length("path") + F.length("spared")), F.lit(0))).first()[0]
+    rules = settled(wrappers(placed).select("host", "path", "spared", "constant"))
+    size = rules.agg(F.coalesce(F.sum(F.length("host") + F.length("path") + F.length("spared") + 8 * F.size("constant")), F.lit(0))).first()[0]
     # Rules that are measured to be small go to the pages; otherwise pages and rules meet by host, and
     # the engine splits a host that is too large for a task.
     rules = F.broadcast(rules) if size <= BROADCAST_CHARS else rules.hint("merge")
-    found = placed.join(rules, "host", "left").select("page_id", "url", "html", "path", "spared")
+    found = placed.join(rules, "host", "left").select("page_id", "url", "html", "path", "spared", "constant")
     kinds = {f.name: f.dataType.simpleString() for f in chosen.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)
-            texts = [extract(p or "", _labels(path), _names(spared)) for p, path, spared in rows]
+            rows = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)
+            texts = [extract(p or "", _labels(path), _names(spared), frozenset(constant or ())) for p, path, spared, constant in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), batch.column(3)], ["page_id", "url", "text", "path"])
 
     return map_arrow(found, run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, path string")

@@ -262,6 +262,23 @@ def test_title_lead_and_sections_without_article_stay(spark):
     assert texts_of(spark, sections) == [f"{long(i).strip()} b{i} c{i}" for i in range(5)]
 
 
+def test_constant_notices_within_the_article_are_template(spark):
+    notice = "This notice is the same on every page &amp; is no part of the text."
+    page = f"<article><h1>Title {{i}}</h1><p>Text {{i}} of some length</p><p>{notice}</p><p>More {{i}}</p></article>"
+    assert texts_of(spark, [page.format(i=i) for i in range(6)]) == [f"Title {i} Text {i} of some length More {i}" for i in range(6)]
+    whole = f"Title 1 Text 1 of some length {wrappers.plain([notice])} More 1"
+    assert texts_of(spark, [page.format(i=1)] * 6) == [whole] * 6  # copies of one page
+    assert texts_of(spark, [page.format(i=1)]) == [whole]
+
+
+def test_counts_of_texts_stay_bounded_and_are_never_too_high(monkeypatch):
+    monkeypatch.setattr(wrappers, "MOST_TEXTS", 20)
+    counts = {}
+    for i in range(200):
+        counts = wrappers.add_counts(counts, {0: 1, i + 1: 1})
+    assert len(counts) <= 20 and 160 <= counts[0] <= 200 and wrappers.constants(200, counts) == [0]
+
+
 def test_styled_body_keeps_its_text():
     assert wrappers.extract('<body style="overflow-x:hidden"><p>One</p></body>', []) == "One"
 
