@@ -21,7 +21,7 @@ import html
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -59,8 +59,13 @@ PLACES = frozenset("article main".split())
 
 #: Elements nested deeper than this stay texts of the node that holds them.
 MOST_DEPTH = 100
-#: A node with more runs of children than this keeps one child per label.
+#: A node with more runs of children than this keeps one child per label; if these are still more, those
+#: on the fewest pages become one child per element name, and then one of any name.
 MOST_CHILDREN = 32
+#: A template with more nodes than this keeps fewer levels; a node at the last one has the texts below it.
+MOST_NODES = 2000
+#: Ends the label of a node that stands for several labels.
+ANY = ".*"
 #: Templates of one host that a task merges at a time.
 FAN_IN = 64
 #: Rules of all hosts up to this many characters are sent to every task.
@@ -81,6 +86,8 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s>/]*)[^
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s>/]|$)[^>]*>?", re.IGNORECASE) for name in RAW}
 _SPACE = re.compile(r"\s+")
+#: Numbers in class names and ids that are a page's own; shorter ones tell columns apart.
+_NUMBER = re.compile(r"\d{3,}")
 
 
 @dataclass(slots=True)
@@ -154,8 +161,9 @@ def _block(name: str, attributes: str) -> Block:
         for m in _ATTRIBUTE.finditer(attributes):
             found.setdefault(m[1].lower(), next((x for x in m.groups()[1:] if x is not None), ""))
         never |= found.get("role", "").lower() in NEVER_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-        classes = found.get("class", "").split()
-        ids = [x for x in found.get("id", "").split() if x not in classes and NEVER_NAMES.search(x)]
+        classes = dict.fromkeys(_NUMBER.sub("#", x) for x in found.get("class", "").split())
+        ids = dict.fromkeys(_NUMBER.sub("#", x) for x in found.get("id", "").split() if NEVER_NAMES.search(x))
+        ids = [x for x in ids if x not in classes]
         label = f"{name}.{' '.join([*classes, *ids])}" if classes or ids else name
     return Block(name, label, never)
 
@@ -258,13 +266,56 @@ def _runs(children: list[list]) -> list[list]:
         else:
             out.append(child)
     if len(out) > MOST_CHILDREN:
-        by: dict[str, list] = {}
-        for child in out:
-            by[child[LABEL]] = merge(by[child[LABEL]], child, along=False) if child[LABEL] in by else child
-        out = list(by.values())
+        out = _folded(out, lambda c: c[LABEL])
+        for name in (lambda c: _tag(c) + ANY, lambda c: "*" + ANY):
+            if len(out) > MOST_CHILDREN:
+                often = sorted((c for c in out if not c[LABEL].endswith(ANY)), key=lambda c: -c[PAGES])[: MOST_CHILDREN // 2]
+                kept = {c[LABEL] for c in often}
+                out = _folded(out, lambda c, name=name, kept=kept: c[LABEL] if c[LABEL] in kept else name(c))
     return out
 
 
+def _folded(children: list[list], label: Callable[[list], str]) -> list[list]:
+    """One child per ``label``."""
+    by: dict[str, list] = {}
+    for child in children:
+        name = label(child)
+        if name != child[LABEL]:
+            child = [name, *child[1:]]
+        if name not in by:
+            by[name] = child
+            continue
+        a = by[name]
+        pages = a[PAGES] + child[PAGES]
+        by[name] = merge(a, child, along=False)
+        if name.endswith(ANY):
+            by[name][PAGES] = pages
+    return list(by.values())
+
+
+def bounded(template: list) -> list:
+    """The template, or as many of its levels as have ``MOST_NODES`` nodes."""
+    levels, now = [], [template]
+    while now:
+        levels.append(len(now))
+        now = [c for node in now for c in node[CHILDREN]]
+    if sum(levels) <= MOST_NODES:
+        return template
+    keep, total = 0, 0
+    while total + levels[keep] <= MOST_NODES:
+        total += levels[keep]
+        keep += 1
+    return _cut(template, max(keep, 1))
+
+
+def _cut(node: list, levels: int) -> list:
+    if levels > 1:
+        return [*node[:CHILDREN], [_cut(c, levels - 1) for c in node[CHILDREN]]]
+    below = [_cut(c, 1) for c in node[CHILDREN]]
+    same = node[SAME] if not below else -1
+    return [node[LABEL], node[PAGES], same, node[VARIED] + sum(c[VARIED] for c in below), node[LINKED] + sum(c[LINKED] for c in below), []]
+
+
 def spared_names(template: list) -> frozenset[str]:
     """Telling names that a host's articles stand in, so that they tell nothing there.
 
@@ -304,7 +355,7 @@ def place_of(template: list, spared: frozenset[str] = frozenset()) -> list[str]:
     node = template
     while _tag(node) != "article" and not _own_slots(node):
         holds = [c for c in node[CHILDREN] if not telling(c[LABEL], spared) and _slots(c, spared)]
-        if len(holds) != 1 or not holds[0][CHILDREN] or _tag(holds[0]) in ENDS_AT:
+        if len(holds) != 1 or not holds[0][CHILDREN] or _tag(holds[0]) in ENDS_AT or holds[0][LABEL].endswith(ANY):
             break
         node = holds[0]
         path.append(node[LABEL])
@@ -414,11 +465,11 @@ def _texts(block: Block, spared: frozenset[str]) -> list[str]:
 
 def _page(page: str) -> tuple[list, int, dict[int, int]]:
     root = parse(page)
-    return skeleton(root), 1, dict.fromkeys(texts_on(root), 1)
+    return bounded(skeleton(root)), 1, dict.fromkeys(texts_on(root), 1)
 
 
 def _both(a: tuple[list, int, dict[int, int]], b: tuple[list, int, dict[int, int]]) -> tuple[list, int, dict[int, int]]:
-    return merge(a[0], b[0]), a[1] + b[1], add_counts(a[2], b[2])
+    return bounded(merge(a[0], b[0])), a[1] + b[1], add_counts(a[2], b[2])
 
 
 def _dump(kept: dict[str, tuple[list, int, dict[int, int]]]) -> pa.RecordBatch:

@@ -279,6 +279,29 @@ def test_counts_of_texts_stay_bounded_and_are_never_too_high(monkeypatch):
     assert len(counts) <= 20 and 160 <= counts[0] <= 200 and wrappers.constants(200, counts) == [0]
 
 
+def nodes_of(tree):
+    return 1 + sum(map(nodes_of, tree[wrappers.CHILDREN]))
+
+
+@pytest.mark.parametrize("name", ["post-{n} post type-post", "own{w} post", "p{i}"])
+def test_classes_of_their_own_on_every_page_keep_templates_small(spark, name):
+    own = lambda i: name.format(n=1000 + i, i=i, w="".join("abcdefghij"[int(d)] for d in str(i)))
+    body = lambda i: f'<div class="{own(i)}"><h1>Title {i}</h1><p>{f"text{i} " * 9}</p></div>'
+    whole, sizes = wrappers._page(body(0)), []
+    for i in range(1, 300):
+        whole = wrappers._both(whole, wrappers._page(f"<html><body>{body(i)}</body></html>"))
+        sizes.append(nodes_of(whole[0]))
+    assert max(sizes) < 200 and whole[1] == 300
+    assert texts_of(spark, [body(i) for i in range(60)]) == [f"Title {i} {(f'text{i} ' * 9).strip()}" for i in range(60)]
+
+
+def test_templates_are_cut_by_level_with_their_text(monkeypatch):
+    tree = wrappers.skeleton(wrappers.parse("<div>a<ul><li>bb<p>ccc</p></ul></div>"))
+    monkeypatch.setattr(wrappers, "MOST_NODES", 3)
+    small = wrappers.bounded(tree)
+    assert nodes_of(tree) == 5 and nodes_of(small) == 3 and wrappers._slots(small, frozenset()) == wrappers._slots(tree, frozenset()) == 6
+
+
 def test_styled_body_keeps_its_text():
     assert wrappers.extract('<body style="overflow-x:hidden"><p>One</p></body>', []) == "One"
 
