@@ -1,17 +1,21 @@
 """Licence scans by sentence rules.
 
-Texts are cut into sentences; a sentence that names anything legal is normalised and looked up in a
-table of known licence sentences, which gives it an identifier. A document's identifiers in page
+Texts are cut at stops and line ends; the cuts of a sentence wrapped over lines are joined as long as
+they begin a known licence sentence, and what then equals one gets its identifier. A document's identifiers in page
 order form its sequence. Ordered rules, longest evidence first, look for their sequence of
 identifiers in that; what a rule has matched is used up.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table
+from riskloom.llm.common import map_arrow, table
 
 # Known licence sentences in normal form ("#" for a version) and their identifiers.
 SENTENCES = {
@@ -93,15 +97,50 @@ _OPENING = "^(this [a-z]+ is )?(licensed|released|distributed|published|availabl
 _STOPS = r"([.!?])[ \t\r]+"
 
 
-def sentences(text: Column) -> Column:
-    """The sentences of a text: lines, cut further after a stop that white space follows."""
-    return F.split(F.regexp_replace(F.coalesce(text, F.lit("")), _STOPS, "$1\n"), "\n")
+#: What begins or ends a line of a comment or a list, and how many words an unfinished opening has at most.
+_LEADER = re.compile(r"^\s*(?:(?:#+|//+|/?\*+|--+|-(?=\s)|;+|%+|>+|<!--|dnl\b|rem\b|\(?[0-9a-z]\))\s*)*|(?:\s*(?:\*+/?|#+|-->))*\s*$", re.IGNORECASE)
+_OPENING_WORDS = 5
+_CUT, _NUMBER, _OTHER, _BEGINS = (re.compile(x, re.ASCII) for x in (r"(?<=[.!?])[ \t\r]+", _VERSION, "[^a-z#-]+", _OPENING))
+#: The beginnings of known sentences, in whole words.
+_PREFIXES = frozenset(" ".join(k.split()[:n]) for k in SENTENCES for n in range(1, len(k.split())))
+
 
+def cuts(text: str) -> list[str]:
+    """A text's lines without what makes them a comment, cut further after a stop that white space follows."""
+    return [part for line in text.split("\n") for part in _CUT.split(_LEADER.sub("", line))]
 
-def normal(sentence: Column) -> Column:
+
+def normal(sentence: str) -> str:
     """Lower case, versions as "#", letters, "#" and hyphens kept, all else single spaces, one way to begin a grant."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(sentence), _VERSION, "#"), "[^a-z#-]+", " ")
-    return F.regexp_replace(F.trim(plain), _OPENING, "licensed under ")
+    plain = _OTHER.sub(" ", _NUMBER.sub("#", sentence.lower())).strip(" ")
+    return _BEGINS.sub("licensed under ", plain, count=1)
+
+
+def known_sentences(text: str) -> list[tuple[int, str, str]]:
+    """(place, identifier, version) of the known sentences of a text, the longest at each place.
+
+    A sentence begins and ends at a cut. It goes on over a line end, but not over an empty line, nor
+    over a stop unless a number follows.
+    """
+    parts, found, i = cuts(text), [], 0
+    while i < len(parts):
+        sentence, j, best = parts[i], i + 1, None
+        while True:
+            key = normal(sentence)
+            if key in SENTENCES:
+                best = (j, SENTENCES[key], sentence)
+            open_ = key in _PREFIXES or 0 < len(key.split()) <= _OPENING_WORDS
+            if not open_ or j == len(parts) or not parts[j].strip():
+                break
+            if sentence.rstrip()[-1:] in (".", "!", "?") and not parts[j][:1].isdigit():
+                break
+            sentence += " " + parts[j]
+            j += 1
+        if best:
+            version = _NUMBER.search(best[2])
+            found.append((i, best[1], version[0] if version else ""))
+        i = best[0] if best else i + 1
+    return found
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -111,12 +150,18 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     ``licences`` the licences found, by rule order, each once with the first version it names.
     Null and empty texts have none. Rows that share an id are one document; rows without an id are left out.
     """
-    known = docs.sparkSession.createDataFrame([*SENTENCES.items()], "key string, identifier string")
-    legal = F.filter(F.transform(sentences(F.col(text)), lambda s, i: F.struct(i.alias("at"), s.alias("sentence"))), lambda s: F.lower(s["sentence"]).rlike(LEGAL))
-    cut = docs.select(F.col(doc_id).alias("doc_id"), F.explode(legal).alias("s")).filter("doc_id is not null")
-    keyed = cut.select("doc_id", "s.at", normal(F.col("s.sentence")).alias("key"), F.regexp_extract("s.sentence", _VERSION, 0).alias("version"))
-    # The table of sentences is the constant above, so its size is known.
-    met = keyed.join(F.broadcast(known), "key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, *x) for k, text in enumerate(batch.column(1).to_pylist()) for x in known_sentences(text)]
+            owner, at, identifier, version = zip(*rows, strict=True) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(at, pa.int64()), pa.array(identifier, pa.string()), pa.array(version, pa.string())],
+                ["doc_id", "at", "identifier", "version"],
+            )
+
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.expr("doc_id is not null") & F.lower("text").rlike(LEGAL.replace(" ", "[^a-z]+")))
+    met = map_arrow(named, run, f"doc_id {named.schema['doc_id'].dataType.simpleString()}, at long, identifier string, version string")
     found = met.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "identifier", "version"))).alias("met"))
     rows = found.select("doc_id", F.col("met.identifier").alias("sequence"), F.col("met.version").alias("versions"))
     return rows.withColumn("licences", licences(F.col("sequence"), F.col("versions")))

@@ -326,6 +326,30 @@ def test_licence_rules(spark, awkward, nothing):
     assert licences.scan(nothing).count() == 0
 
 
+def test_wrapped_licences_of_documents(spark):
+    rows = [(1, "# This is free and unencumbered software released into the public\n# domain."), (2, "All rights\nreserved."), (3, None)]
+    found = {r["doc_id"]: r["licences"] for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: ["Unlicense"], 2: ["All-Rights-Reserved"]}
+
+
+def test_wrapped_and_commented_licences():
+    import textwrap
+
+    def ids(text):
+        return [i for _, i, _ in licences.known_sentences(text)]
+
+    mit = [k for k, v in licences.SENTENCES.items() if v in ("MitPermission", "MitNotice", "AsIs")]
+    wrapped = "\n\n".join(textwrap.fill(k.capitalize() + ".", 72) for k in mit)
+    assert ids(wrapped) == ["MitPermission", "MitNotice", "AsIs"]
+    for leader in ("# ", "// ", " * ", "-- "):
+        assert ids("\n".join((leader + x).rstrip() for x in wrapped.split("\n"))) == ["MitPermission", "MitNotice", "AsIs"]
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."
+    assert licences.known_sentences(mpl) == [(0, "MplGrant", "2.0")]
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n"
+    assert licences.known_sentences(gpl) == [(0, "GplOrLater", "3")]
+    assert ids("prose without a stop |\nThis work is\nlicensed under the MIT License.\n\nMIT\n\nLicense") == ["MitGrant"]
+
+
 def test_every_known_sentence_is_looked_up():
     legal = re.compile(licences.LEGAL)
     assert all(legal.search(s) or s in ("apache license", "mit license") for s in licences.SENTENCES)
