@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on what sets toxic text apart and one on ordinary text. A
-window, which is a word with its surroundings, is compressed with either; how many bytes the toxic
+Two zstandard dictionaries are trained, one on words preselected as telling of toxic text and one on
+ordinary text. A window, which is a single word, is compressed with either; how many bytes the toxic
 dictionary saves over the ordinary one is its gain. How many windows of a document reach each gain,
 and what share of all they are, is calibrated to a probability on labelled rows that trained
 neither dictionary.
