@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import collocations, fingerprint, licences, mixing, pieces, quality_rules, secret_scan, simhash, token_count, toxicity, wrappers
+from riskloom.llm import collocations, fingerprint, licences, mixing, pieces, prefix_trie, quality_rules, secret_scan, simhash, token_count, toxicity, wrappers
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +27,15 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules.query,
         "op9_mixing": mixing.query,
         "op10_secrets": secret_scan.query,
+        "op11_prefix_trie": prefix_trie.query,
         "op12_collocations": collocations.query,
         "pipeline": pipeline,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op2_licences": licences.sql(), "op12_collocations": collocations.sql()}
+    return {
+        "op2_licences": licences.sql(),
+        "op11_prefix_trie": prefix_trie.sql(),
+        "op12_collocations": collocations.sql(),
+    }
