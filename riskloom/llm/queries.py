@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import collocations, fingerprint, licences, mixing, pieces, prefix_trie, quality_rules, secret_scan, simhash, token_count, toxicity, wrappers
+from riskloom.llm import collocations, fingerprint, licences, mixing, neighbours, pieces, prefix_trie, quality_rules, secret_scan, simhash, token_count, toxicity, wrappers
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,7 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secrets": secret_scan.query,
         "op11_prefix_trie": prefix_trie.query,
         "op12_collocations": collocations.query,
+        "op13_neighbours": neighbours.query,
         "pipeline": pipeline,
     }
 
