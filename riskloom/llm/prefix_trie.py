@@ -41,7 +41,7 @@ def power(base: int, exponent: Column, prime: int) -> Column:
     for shift in range(0, 32, _LIMB):
         powers = F.lit([pow(base, e << shift, prime) for e in range(1 << _LIMB)])
         limb = F.shiftright(exponent.cast("long"), shift).bitwiseAND(F.lit((1 << _LIMB) - 1))
-        factor = F.get(powers, limb.cast("int"))
+        factor = F.get(powers, limb.cast("int")).cast("long")
         out = factor if out is None else out * factor % prime
     return out
 
@@ -141,7 +141,7 @@ def rebuilt_prefixes(turns: DataFrame, seed: int) -> DataFrame:
     own = originals.join(convs.drop("front"), "conv").filter(F.col("i") > F.col("h"))
     for k, prime in enumerate(PRIMES):
         # The own turns move back by as many places as the base fell short of h.
-        back = F.get(F.lit([pow(BASES[k], -m, prime) for m in range(MOST_HEAD)]), F.col("h") - F.col("from_base"))
+        back = F.get(F.lit([pow(BASES[k], -m, prime) for m in range(MOST_HEAD)]), F.col("h") - F.col("from_base")).cast("long")
         suffix = F.pmod(F.col(f"p{k}") - F.col(f"own_p{k}"), F.lit(prime))
         own = own.withColumn(f"p{k}", (F.col(f"front_p{k}") + back * suffix) % prime)
     own = own.select("conv", "total", (F.col("from_base") + F.col("i") - F.col("h")).alias("depth"), *fields)

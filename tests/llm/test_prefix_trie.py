@@ -48,6 +48,7 @@ ROWS = [
     *[(c, t, "user", "hello") for c in (11, 12, 203, 70_000, 70_001, 140_000) for t in range(12)],
     (20, None, None, None), (20, 5, "user", ""), (20, 9, None, "last"), (21, 3, "user", "x" * 100_000),
     (-5, 0, "user", "below"), (-7, 1, "user", "zero"), (None, 0, "user", "nobody"), (30, 2, "ab", "c"), (31, 2, "a", "bc"),
+    *[(c, t, "user", f"long {t % 7}") for c in (40, 41) for t in range(300)],
 ]
 
 
@@ -56,6 +57,13 @@ def rows(spark):
     return spark.createDataFrame([(*r, i) for i, r in enumerate(ROWS)], "conv_id long, turn long, role string, text string, value int")
 
 
+def test_powers(spark):
+    exponents = [0, 1, 8, 255, 256, 70_000, (1 << 32) - 1]
+    frame = spark.createDataFrame([(e,) for e in exponents], "e long")
+    for base, prime in zip(prefix_trie.BASES, prefix_trie.PRIMES):
+        assert [r[0] for r in frame.select(prefix_trie.power(base, F.col("e"), prime)).collect()] == [pow(base, e, prime) for e in exponents]
+
+
 def test_equals_brute_force(rows):
     assert found(rows) == by_hand(ROWS)
 
