@@ -3,9 +3,10 @@
 A sliding window frame would be rebuilt for every row and would put a busy card into one task. So
 each event is turned into *points* on its card's timeline instead: it adds to the counters when it
 happens and takes off again when it leaves the last hour or the last 24 hours. A feature is then a
-running total of points strictly before the event. The timeline is cut into slices
-(see :mod:`riskloom.operators.running`), so a card holding a third of all events is spread over as
-many tasks as its history has slices, and the work per event is constant.
+running total of points strictly before the event. A card with many points has its timeline cut into
+slices (see :mod:`riskloom.operators.running`) of a bounded number of points, wherever in time they
+lie: points are counted per card first, then per hour of busy cards, per minute of busy hours and
+so on. The work per event is constant, and no task orders more than a slice.
 
 Amounts are summed as decimals, which makes adding and taking off exact.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.operators.running import SLICE
+from riskloom.session import ensure_checkpoint_dir
 
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
@@ -66,14 +68,57 @@ def calendar_fields(events: DataFrame, ts: str = "ts") -> DataFrame:
     return events.withColumns({"hour_of_day": F.hour(ts), "day_of_week": F.weekday(ts)})
 
 
-def _sliced(df: DataFrame, slice_seconds: int) -> DataFrame:
-    return df.withColumn(SLICE, F.floor(F.col("t") / F.lit(slice_seconds * 1_000_000)).cast("long"))
+#: Points that a slice holds at most, unless they all share a microsecond.
+SLICE_POINTS = 100_000
+#: Microseconds of the cells by which busy cards are counted, each inside the one before.
+_CELLS = (3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
 
 
-def _next_at_same_merchant(events: DataFrame, slice_seconds: int) -> DataFrame:
+def _busy_cells(points: DataFrame, keys: Sequence[str], most: int) -> list[DataFrame]:
+    """Per level the groups, then the cells of time, that hold more than ``most`` points.
+
+    ``points`` has the keys, a time ``t`` and ``weight``, the number of points there. Only rows of busy
+    cells are counted again, more finely; there are fewer cells than points by ``most`` at each level.
+    """
+    busy: list[DataFrame] = []
+    held = list(keys)
+    for width in (None, *_CELLS):
+        if width:
+            points = points.join(busy[-1], held, "left_semi").withColumn(f"_cell_{width}", _cell(width))
+            held = [*keys, f"_cell_{width}"]
+        heavy = points.groupBy(*held).agg(F.sum("weight").alias("_points")).filter(F.col("_points") > most).select(*held)
+        ensure_checkpoint_dir(points.sparkSession)
+        busy.append(heavy.checkpoint())
+        if busy[-1].isEmpty():
+            return busy[:-1]
+    return busy
+
+
+def _cell(width: int) -> Column:
+    return F.floor(F.col("t") / F.lit(width)).cast("long")
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], busy: Sequence[DataFrame]) -> DataFrame:
+    """Append the slice: where the coarsest cell that is not busy begins, or 0 for a whole group."""
+    out = df.withColumn(SLICE, F.lit(0).cast("long"))
+    held = list(keys)
+    for level, heavy in enumerate(busy):
+        marked = out.join(heavy.withColumn("_busy", F.lit(True)), held, "left")
+        if level == len(_CELLS):
+            out = marked.drop("_busy")  # one microsecond cannot be cut
+            break
+        width = _CELLS[level]
+        inside = F.when(F.col("_busy"), _cell(width))
+        out = marked.withColumn(f"_cell_{width}", inside).withColumn(SLICE, F.coalesce(inside * width, SLICE)).drop("_busy")
+        held = [*keys, f"_cell_{width}"]
+    return out.drop(*[f"_cell_{w}" for w in _CELLS])
+
+
+def _next_at_same_merchant(events: DataFrame, most: int) -> DataFrame:
     """Append ``t_next``: when the card next uses the same merchant, null if never."""
     keys = ["card", "merchant"]
-    sliced = _sliced(events, slice_seconds)
+    busy = _busy_cells(events.select(*keys, "t", F.lit(1).alias("weight")), keys, most)
+    sliced = _sliced(events, keys, busy)
     inside = W.partitionBy(*keys, SLICE).orderBy("t", "id")
     firsts = sliced.groupBy(*keys, SLICE).agg(F.min("t").alias("first"))
     later = firsts.select(
@@ -90,7 +135,7 @@ def velocity_features(
     events: DataFrame,
     wanted: Sequence[str] = FEATURES,
     names: EventColumns = EventColumns(),
-    slice_seconds: int = 6 * 3600,
+    slice_points: int = SLICE_POINTS,
 ) -> DataFrame:
     """Event id and the wanted features; only the points those need are built.
 
@@ -107,12 +152,17 @@ def velocity_features(
         micros(F.col(names.ts)).alias("t"),
         F.col(names.amount).cast(AMOUNT).alias("amount"),
         F.expr(names.failed).cast("int").alias("failed"),
-    )
+    ).filter("t is not null")
     hour = [f for f in wanted if f in ("tx_count_last_hour", "tx_amount_last_hour", "failed_tx_last_hour")]
     day = [f for f in wanted if f in ("tx_count_last_24h", "tx_amount_last_24h")]
     merchants = "unique_merchants_24h" in wanted
+    # At most so many points come from an event: itself, leaving the hour and the day, and its merchant's end,
+    # which is a day later or when another event happens.
+    at = [(0, 1 + merchants), (HOUR, bool(hour)), (DAY, bool(day) + merchants)]
+    weights = [F.struct((F.col("t") + shift).alias("t"), F.lit(int(n)).alias("weight")) for shift, n in at if n]
+    busy = _busy_cells(base.select("card", F.inline(F.array(*weights))), ["card"], slice_points)
     if merchants:
-        base = _next_at_same_merchant(base, slice_seconds)
+        base = _next_at_same_merchant(base, slice_points)
 
     step = {
         "h_n": F.lit(1),
@@ -152,7 +202,7 @@ def velocity_features(
         until = F.least(t + DAY, F.col("t_next"))
         points.append(point(until, False, -1, ["d_merchants"]))
 
-    timeline = _sliced(base.select("card", "id", F.inline(F.array(*points))), slice_seconds)
+    timeline = _sliced(base.select("card", "id", F.inline(F.array(*points))), ["card"], busy)
     event_time = F.when(F.col("is_event"), F.col("t"))
 
     by_time = W.partitionBy("card", SLICE).orderBy("t").rangeBetween(W.unboundedPreceding, -1)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskloom.functions import features, scoring
 from riskloom.functions.features import BILL_COLUMNS, PAID_COLUMNS, PAY_COLUMNS
@@ -182,3 +183,25 @@ def transaction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.withColumn("spelled", spelled).select(
         F.col("ID").alias("id"), broken.alias("value")
     )
+
+
+def arrivals(
+    spark: SparkSession, events: DataFrame, folder: str, batches: int = 6, late_seconds: int = 600
+) -> StructType:
+    """Write events as ``batches`` Parquet files in order of arrival, which is up to ``late_seconds`` after ``ts``.
+
+    Inside a file and between neighbouring ones, events are out of order. A last file has one row with
+    nothing but a time, far enough ahead for everything before it to be complete. Returns the schema to read with.
+    """
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)
+    arrived = events.withColumn("_arrived", seconds + F.pmod(F.xxhash64(*events.columns), F.lit(late_seconds)))
+    first, last = arrived.agg(F.min("_arrived"), F.max("_arrived")).head()
+    width = (last - first) / batches if last is not None else 1.0
+    for i in range(batches):
+        low, high = (first or 0) + i * width, (first or 0) + (i + 1) * width
+        inside = (F.col("_arrived") >= low) & ((F.col("_arrived") < high) | F.lit(i == batches - 1))
+        arrived.filter(inside).drop("_arrived").coalesce(1).write.mode("append").parquet(folder)
+    ahead = events.agg((F.max("ts").cast("timestamp") + F.expr("interval 30 days")).alias("ts"))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "ts" else F.col("ts").cast(f.dataType) for f in events.schema]
+    ahead.select(*nothing).write.mode("append").parquet(folder)
+    return events.schema

@@ -23,6 +23,7 @@ from riskloom.session import work_dir
 from riskloom.sources import tables, wire
 from riskloom.sources.tables import table
 from riskloom.streaming import scoring as stream
+from riskloom.streaming.velocity import velocity_stream
 
 KEY, LABEL = "c_custkey", "is_default"
 PARAMS = ScoringParams()
@@ -318,6 +319,26 @@ def _report_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _window_rows(_complete(spark, metrics.report_windows(scored), "windows"))
 
 
+def _arriving_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The event table as a stream of several micro-batches, up to ten minutes out of order."""
+    folder = work_dir(spark, "arrivals")
+    schema = fx.arrivals(spark, table(spark, sf, "events"), folder)
+    return stream.table_source(spark, folder, schema)
+
+
+def _appended(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+    """Run a stream over all its input and read what it wrote."""
+    out = work_dir(spark, purpose)
+    writer = rows.writeStream.format("parquet").option("path", out).outputMode("append")
+    stream.run_all(writer, work_dir(spark, f"{purpose}-state"))
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+def _stream_velocity(spark: SparkSession, sf: str) -> DataFrame:
+    found = _appended(spark, velocity_stream(_arriving_events(spark, sf)), "velocity")
+    return tidy(found.withColumns({n: F.round(n, 4) for n in ("tx_amount_last_hour", "tx_amount_last_24h")}))
+
+
 def _progress(spark: SparkSession, sf: str) -> DataFrame:
     source = stream.file_source(spark, _message_files(spark, sf), 1)
     predicted = stream.observed(stream.scored_stream(source, scorecards, MODELS, PARAMS))
@@ -383,4 +404,5 @@ def catalogue() -> dict[str, Query]:
         "k5_progress": _progress,
         "k6_restarted_stream": _restarted,
         "k7_replayed_table": _replayed,
+        "l_stream_velocity": _stream_velocity,
     }

@@ -666,6 +666,7 @@ def _stream_statements() -> dict[str, str]:
                count(*) FILTER (WHERE value / 500e0 >= 0.56e0) AS alerts, {r('avg(value / 500e0)', 'mean_score')}
         FROM events GROUP BY 1"""
     good = "predicted WHERE c_custkey % 50 > 4"
+    velocity = list(_velocity_statements().values())[:9]
     return {
         "k1_scoring_stream": scoring["d24_scoring_job"],
         "k2_reject_stream": _source_statements()["a4_decode_rejected"],
@@ -676,6 +677,7 @@ def _stream_statements() -> dict[str, str]:
         "k4_report_windows_stream": windows,
         "k5_progress": over("predicted", f"SELECT count(*) AS processed FROM {good}"),
         "k6_restarted_stream": scoring["d24_scoring_job"],
+        "l_stream_velocity": f"SELECT * FROM ({velocity[0]})" + "".join(f" JOIN ({v}) USING (event_id)" for v in velocity[1:]),
         "k7_replayed_table": "SELECT count(*) AS n, count(DISTINCT c_custkey) AS n_distinct FROM customer",
     }
 

@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from riskloom.functions.scoring import at_least, risk_level, score_bucket
 from riskloom.params import ScoringParams
@@ -33,6 +34,11 @@ def file_source(spark: SparkSession, folder: str, files_per_trigger: int | None
     return reader.text(folder)
 
 
+def table_source(spark: SparkSession, folder: str, schema: StructType, files_per_trigger: int = 1) -> DataFrame:
+    """Rows of Parquet files in the order in which the files came, a bounded number of files per micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+
+
 def kafka_source(spark: SparkSession, servers: str, topic: str, per_trigger: int | None = None) -> DataFrame:
     """Messages of a topic as text; needs Spark's Kafka package on the cluster."""
     reader = (
