@@ -34,8 +34,9 @@ LIST = 24
 TREES, LEAF = 4, 400
 #: Rounds of NN-descent at most; they end sooner when fewer than this share of all list entries is new.
 ROUNDS, FEW_NEW = 4, 0.05
-#: Nodes, and queries, of a shard in the mean.
-SHARD_NODES, SHARD_QUERIES = 4096, 64
+#: Nodes, and queries, of a shard at most, in the mean. Where near nodes lie together, a shard's nodes share
+#: most of their neighbours; where they don't, larger shards would come to need all vectors.
+SHARD_NODES, SHARD_QUERIES = 512, 64
 #: Nearest nodes that a search follows before it ends, and how many of them in one step.
 BREADTH, STEP = 300, 150
 #: Nearest nodes of a search that are compared exactly.
