@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import features
 from riskloom.functions.features import FEATURE_NAMES
-from riskloom.operators import evaluation, isolation, learn, matrix, metrics, ranking, splits
-from riskloom.params import MODELS, ScoringParams
+from riskloom.operators import evaluation, isolation, learn, matrix, metrics, ranking, report, splits
+from riskloom.params import HISTORY_CAPS, MODELS, ScoringParams
 from riskloom.plans import fixtures as fx
 from riskloom.plans import training
 from riskloom.plans.scoring import score_transactions
@@ -23,6 +23,7 @@ from riskloom.session import work_dir
 from riskloom.sources import tables, wire
 from riskloom.sources.tables import table
 from riskloom.streaming import scoring as stream
+from riskloom.streaming.history import read_history, recent_history_stream
 from riskloom.streaming.velocity import velocity_stream
 
 KEY, LABEL = "c_custkey", "is_default"
@@ -312,17 +313,10 @@ def _report_windows(spark: SparkSession, sf: str) -> DataFrame:
     return _window_rows(metrics.report_windows(_scored_events(table(spark, sf, "events"))))
 
 
-def _report_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    scored = _scored_events(events).withWatermark("ts", "10 minutes")
-    return _window_rows(_complete(spark, metrics.report_windows(scored), "windows"))
-
-
-def _arriving_events(spark: SparkSession, sf: str) -> DataFrame:
+def _arriving_events(spark: SparkSession, sf: str, late_seconds: int = 600) -> DataFrame:
     """The event table as a stream of several micro-batches, up to ten minutes out of order."""
     folder = work_dir(spark, "arrivals")
-    schema = fx.arrivals(spark, table(spark, sf, "events"), folder)
+    schema = fx.arrivals(spark, table(spark, sf, "events"), folder, late_seconds=late_seconds)
     return stream.table_source(spark, folder, schema)
 
 
@@ -334,6 +328,72 @@ def _appended(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def _report_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    scored = _scored_events(_arriving_events(spark, sf)).withWatermark("ts", "10 minutes")
+    return _window_rows(_appended(spark, metrics.report_windows(scored), "windows"))
+
+
+def _timed_events(events: DataFrame) -> DataFrame:
+    """Events as scored transactions with a duration, an agreement and one model's time."""
+    whole = lambda factor: F.floor(F.col("value") * factor).cast("long")
+    return events.select(
+        F.col("ts").cast("timestamp").alias("ts"),
+        (F.col("value") / 500.0).alias("risk_score"),
+        whole(100.0).alias("duration_us"),
+        (F.lit(1.0) - F.col("value") / 1000.0).alias("agreement"),
+        F.when(F.col("event_type").isNotNull(), F.create_map("event_type", whole(40.0))).alias("model_us"),
+    )
+
+
+def _report_rows(rows: DataFrame) -> DataFrame:
+    each = F.transform("models", lambda m: F.format_string("%s %d %d %.3f %.3f %.3f", m["model"], m["calls"], m["mean_us"], m["p50_us"], m["p95_us"], m["p99_us"]))
+    flat = rows.withColumns({
+        "window_second": F.unix_seconds("window_start"),
+        "score_buckets": F.array_join(F.transform("score_buckets", lambda n: n.cast("string")), ","),
+        "models": F.array_join(each, "; "),
+    })
+    return tidy(flat.drop("window_start"))
+
+
+def _full_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _report_rows(report.full_report(_timed_events(table(spark, sf, "events"))))
+
+
+def _full_report_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rows = report.full_report(_timed_events(_arriving_events(spark, sf)).withWatermark("ts", "10 minutes"))
+    return _report_rows(_appended(spark, rows, "report"))
+
+
+def _arriving_timings(spark: SparkSession, sf: str) -> DataFrame:
+    return _arriving_events(spark, sf, late_seconds=1).select(
+        "event_id", "ts", F.col("event_type").alias("model"), F.floor(F.col("value") * 100.0).cast("long").alias("duration_us")
+    )
+
+
+def _history_run(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Folders of the statistics that the history stream gave, and of its state."""
+    out, state = work_dir(spark, "history"), work_dir(spark, "history-state")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    found = recent_history_stream(_arriving_timings(spark, sf), HISTORY_CAPS["model"])
+    stream.run_all(found.writeStream.outputMode("update").foreachBatch(write), state)
+    return out, state
+
+
+def _history_stream(spark: SparkSession, sf: str) -> DataFrame:
+    _, state = _history_run(spark, sf)
+    return read_history(spark, state).select(F.col("id").cast("long").alias("event_id"), F.col("key").alias("model"), F.col("us").alias("duration_us"))
+
+
+def _history_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
+    out, _ = _history_run(spark, sf)
+    rows = spark.read.parquet(out)
+    last = rows.groupBy("key").agg(F.max_by(F.struct(*rows.drop("key", "batch").columns), "pushed").alias("last"))
+    return last.select(F.col("key").alias("model"), "last.*")
+
+
 def _stream_velocity(spark: SparkSession, sf: str) -> DataFrame:
     found = _appended(spark, velocity_stream(_arriving_events(spark, sf)), "velocity")
     return tidy(found.withColumns({n: F.round(n, 4) for n in ("tx_amount_last_hour", "tx_amount_last_24h")}))
@@ -382,6 +442,8 @@ def catalogue() -> dict[str, Query]:
         "d1_score_with_model": _fit_and_score("xgboost"),
         "d2_score_batch": _batch_scores,
         "f4_top_importances": _top_importances,
+        "e3_recent_latency_stream": _history_stats_stream,
+        "e4_recent_history_stream": _history_stream,
         "j3_boosted_xgboost": _fit_and_score("xgboost"),
         "j3_boosted_lightgbm": _fit_and_score("lightgbm"),
         "j3_boosted_catboost": _fit_and_score("catboost"),
@@ -401,6 +463,8 @@ def catalogue() -> dict[str, Query]:
         "k3_running_totals": _running_totals,
         "k4_report_windows": _report_windows,
         "k4_report_windows_stream": _report_windows_stream,
+        "k4_full_report": _full_report,
+        "k4_full_report_stream": _full_report_stream,
         "k5_progress": _progress,
         "k6_restarted_stream": _restarted,
         "k7_replayed_table": _replayed,

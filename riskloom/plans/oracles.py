@@ -666,6 +666,34 @@ def _stream_statements() -> dict[str, str]:
                count(*) FILTER (WHERE value / 500e0 >= 0.56e0) AS alerts, {r('avg(value / 500e0)', 'mean_score')}
         FROM events GROUP BY 1"""
     good = "predicted WHERE c_custkey % 50 > 4"
+    growth = "(1.01e0 / 0.99e0)"
+    # Where an exact percentile lies among cells that grow by that factor.
+    near = lambda x: f"CASE WHEN {x} < 1 THEN 0e0 ELSE 2e0 * pow({growth}, 1 + floor(ln({x}) / ln({growth}))) / ({growth} + 1) END"
+    picked = lambda us, part: ", ".join(
+        f"max({us}) FILTER (WHERE rank_{us} = floor(n_{us} * {p})::BIGINT) AS {part}{name}" for name, p in _RANKS.items())
+    ranked = lambda us, keys: f"row_number() OVER (PARTITION BY {keys} ORDER BY {us}) - 1 AS rank_{us}, count(*) OVER (PARTITION BY {keys}) AS n_{us}"
+    level = lambda low, high: f"count(*) FILTER (WHERE score >= 0.56e0 AND score >= {low} AND score < {high})"
+    tenths = " || ',' || ".join(f"count(*) FILTER (WHERE least(floor(score * 10e0), 9) = {b})" for b in range(10))
+    report = f"""
+        WITH timed AS (
+          SELECT epoch_us(time_bucket(INTERVAL '30 seconds', ts)) // 1000000 AS w, value / 500e0 AS score, floor(value * 100e0)::BIGINT AS us,
+                 event_type AS model, floor(value * 40e0)::BIGINT AS mus, 1e0 - value / 1000e0 AS agreement FROM events),
+        ordered AS (SELECT *, {ranked('us', 'w')}, {ranked('mus', 'w, model')} FROM timed),
+        whole AS (
+          SELECT w, count(*) AS processed, count(*) FILTER (WHERE score >= 0.56e0) AS alerts, (sum(us) // count(*))::BIGINT AS mean_us,
+                 {picked('us', '')}, max(us) AS max_us, avg(agreement) AS agreement, {level('-1e9', '0.5e0')} AS level_low,
+                 {level('0.5e0', '0.7e0')} AS level_medium, {level('0.7e0', '0.9e0')} AS level_high, {level('0.9e0', '1e9')} AS level_critical,
+                 {tenths} AS score_buckets FROM ordered GROUP BY w),
+        by_model AS (SELECT w, model, count(*) AS calls, (sum(mus) // count(*))::BIGINT AS mean_us, {picked('mus', '')} FROM ordered GROUP BY w, model),
+        listed AS (
+          SELECT w, string_agg(printf('%s %d %d %.3f %.3f %.3f', model, calls, mean_us, {", ".join(near(n) for n in _RANKS)}), '; ' ORDER BY model) AS models
+          FROM by_model GROUP BY w)
+        SELECT w::BIGINT AS window_second, processed, alerts, {r('100e0 * alerts / processed', 'alert_rate')}, {r('processed / 30e0', 'per_second')},
+               mean_us, {", ".join(r(near(n), n) for n in _RANKS)}, max_us, {r('agreement', 'avg_agreement')},
+               level_low, level_medium, level_high, level_critical, score_buckets, models
+        FROM whole JOIN listed USING (w)"""
+    metric = _metric_statements()
+    history = metric["e4_recent_history"]
     velocity = list(_velocity_statements().values())[:9]
     return {
         "k1_scoring_stream": scoring["d24_scoring_job"],
@@ -675,6 +703,12 @@ def _stream_statements() -> dict[str, str]:
                    count(*) FILTER (WHERE risk_score >= 0.56e0) AS alerts FROM {good.replace('predicted', 'levelled')} GROUP BY ALL"""),
         "k4_report_windows": windows,
         "k4_report_windows_stream": windows,
+        "k4_full_report": report,
+        "k4_full_report_stream": report,
+        "e4_recent_history_stream": history,
+        "e3_recent_latency_stream": f"""
+            SELECT s.*, p.pushed FROM ({_latency("model", _RANKS, f"({history})")}) s
+            JOIN (SELECT event_type AS model, count(*) AS pushed FROM events GROUP BY 1) p USING (model)""",
         "k5_progress": over("predicted", f"SELECT count(*) AS processed FROM {good}"),
         "k6_restarted_stream": scoring["d24_scoring_job"],
         "l_stream_velocity": f"SELECT * FROM ({velocity[0]})" + "".join(f" JOIN ({v}) USING (event_id)" for v in velocity[1:]),
