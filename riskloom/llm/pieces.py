@@ -5,8 +5,9 @@ their suffixes as far as the longest piece reaches. Every piece of the model is
 bisection; its range of suffixes is where it occurs. These occurrences are edges between
 characters. Sorted by position they are relaxed from left to right: an edge may follow the edge that
 ends where it begins if the two pieces side by side encode to themselves, and exactly one edge
-survives per end, because the model merges pairs by score. The result equals the model's own
-encoding; words are encoded apart because no piece spans two of them.
+survives per end, because the model merges pairs by score. Which pieces may stand side by side is told from
+the merges that make them, taken back one by one. Words go ahead together, a character at a time.
+The result equals the model's own encoding; words are encoded apart because no piece spans two of them.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from riskloom.llm.common import blocks, map_arrow, table, with_field
+from riskloom.llm.common import blocks, fresh, map_arrow, table, with_field
 
 MODEL = "piece_bpe_32k.model"
 #: The mark that stands for a space.
@@ -35,8 +37,10 @@ INDEXED = 250_000
 PART_BYTES = 4_000_000
 #: Characters that may precede a point inside pieces.
 MOST_BEFORE = 16
-#: Pairs of pieces whose verdict a task keeps.
-KEPT_PAIRS = 300_000
+#: Pairs of pieces whose verdict a task keeps, as many of either kind of store; the one of numbers has a power of two.
+KEPT_PAIRS, PAIR_BITS = 300_000, 20
+#: Words up to this length are relaxed side by side, longer ones and those with unknown characters one at a time.
+LOCKSTEP = 48
 
 
 def default_model() -> str:
@@ -126,19 +130,91 @@ class Pieces:
             self.codes[row, : len(name)] = [ord(c) + 1 for c in name]
         self.splitter = splitter(names)
         self.pairs: dict[tuple[str, str], bool] = {}
+        self._number_pairs()
         self.start()
 
+    def _number_pairs(self) -> None:
+        """Tables by row for telling pairs of pieces apart without merging them anew.
+
+        ``rank`` is the order in which pieces come about, characters first. ``left`` and ``right`` are the two
+        parts whose merge makes a piece, a character being its own. ``joined`` finds the rank of the piece that two rows make.
+        """
+        rows = {x: i for i, x in enumerate(self.names)}
+        n = len(rows)
+        by_score = sorted(range(n), key=lambda i: (len(self.names[i]) > 1, -self.scores[self.names[i]]))
+        self.rank = np.empty(n, np.int64)
+        self.rank[by_score] = np.arange(n)
+        self.left, self.right = np.arange(n), np.arange(n)
+        keys, ranks = [], []
+        _, back, shared = np.unique([self.scores[x] for x in self.names], return_inverse=True, return_counts=True)
+        self.plain = shared[back] == 1  # whether the tables tell all about a piece
+        for name, i in rows.items():
+            splits = [(rows[name[:k]], rows[name[k:]]) for k in range(1, len(name)) if name[:k] in rows and name[k:] in rows]
+            keys += [a * n + b for a, b in splits]
+            ranks += [self.rank[i]] * len(splits)
+            if len(name) > 1:
+                parts = self.merged(name, stop=2)
+                made = self.merged(name) == [name] and len(parts) == 2 and all(x in rows for x in parts)
+                if made:
+                    self.left[i], self.right[i] = rows[parts[0]], rows[parts[1]]
+                self.plain[i] &= made and self.rank[i] > max(self.rank[self.left[i]], self.rank[self.right[i]])
+        order = np.argsort(np.array(keys, np.int64))
+        self.pair_keys, self.pair_ranks = np.r_[np.array(keys, np.int64)[order], 1 << 62], np.r_[np.array(ranks, np.int64)[order], 0]
+        self.verdict_keys, self.verdicts = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
+
+    def stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the pieces of rows ``a`` and ``b`` stay as they are side by side, pair by pair.
+
+        Merges are taken back from the last one on, always that of whichever side came about later. If what
+        then meets in the middle makes a piece that comes before the merge taken back, or the same one further to the
+        left, that would have happened instead.
+        """
+        n = len(self.names)
+        out = np.ones(len(a), bool)
+        open_ = np.arange(len(a))
+        limit = np.full(len(a), 1 << 62)
+        while len(open_):
+            key = a * n + b
+            at = np.searchsorted(self.pair_keys, key)
+            preempted = (self.pair_keys[at] == key) & (self.pair_ranks[at] < limit)
+            out[open_[preempted]] = False
+            first = self.rank[a] > self.rank[b]
+            whole = np.where(first, self.left[a] == a, self.left[b] == b)  # the later one is a character: so are both
+            going = ~preempted & ~whole
+            a, b, first, open_ = a[going], b[going], first[going], open_[going]
+            limit = np.where(first, self.rank[a], self.rank[b] + 1)
+            a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
+        return out
+
+    def may_follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """:meth:`stay` with what was found before."""
+        key = a * len(self.names) + b
+        slot = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        out = self.verdicts[slot]
+        missed = np.flatnonzero(self.verdict_keys[slot] != key)
+        if len(missed):
+            _, one, back = np.unique(key[missed], return_index=True, return_inverse=True)
+            one = missed[one]
+            found = np.empty(len(one), bool)
+            easy = self.plain[a[one]] & self.plain[b[one]]
+            found[easy] = self.stay(a[one[easy]], b[one[easy]])
+            for k in np.flatnonzero(~easy):
+                found[k] = self.follows(self.names[a[one[k]]], self.names[b[one[k]]])
+            self.verdict_keys[slot[one]], self.verdicts[slot[one]] = key[one], found
+            out[missed] = found[back]
+        return out
+
     def start(self) -> None:
         """Forget what was encoded."""
         self.known: dict[str, int] = {}
         self.flat = np.empty(0, np.int32)
         self.begins = np.zeros(1, np.int64)
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces by merging the best-scored pair, leftmost among equals, until none is left."""
+    def merged(self, text: str, stop: int = 1) -> list[str]:
+        """Pieces by merging the best-scored pair, leftmost among equals, until none, or only ``stop``, is left."""
         parts = list(text)
         scores = self.scores
-        while len(parts) > 1:
+        while len(parts) > stop:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 score = scores.get(parts[i] + parts[i + 1])
@@ -188,8 +264,74 @@ class Pieces:
         by = np.argsort(start * (self.longest + 1) + self.piece_sizes[piece], kind="stable")
         return start[by], piece[by]
 
-    def relax(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word."""
+    def relax(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words end to end, and how many each has."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        text = "".join(w + "\0" for w in words)
+        odd = set(text) - self.ids.keys() - {"\0"}
+        hard = sizes > LOCKSTEP
+        if odd:
+            hard |= np.fromiter((not odd.isdisjoint(w) for w in words), bool, len(words))
+        if hard.any():
+            text = "".join(w + "\0" for w, h in zip(words, hard.tolist()) if not h)
+        rows, counts = self._relax_together(text, sizes[~hard])
+        failed = np.zeros(len(words), bool)
+        failed[np.flatnonzero(~hard)[counts == 0]] = True
+        hard |= failed
+        ids = self.piece_ids[rows]
+        if not hard.any():
+            return ids, counts
+        apart = iter(self.relax_apart([w for w, h in zip(words, hard.tolist()) if h]))
+        easy = np.split(ids, np.cumsum(counts[counts > 0])[:-1]) if len(ids) else []
+        together = iter(easy)
+        out = [np.array(next(apart), np.int64) if h else next(together) for h in hard.tolist()]
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
+
+    def _relax_together(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the pieces of all words end to end, and how many each has, 0 where no way was found.
+
+        ``text`` holds the words with NUL after each. All words go ahead by one character at a time.
+        """
+        if not len(sizes):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        starts, rows = self.edges(text)
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        offset = starts - np.repeat(begins, sizes + 1)[starts]
+        by = np.argsort(offset, kind="stable")
+        starts, rows = starts[by], rows[by]
+        ends = starts + self.piece_sizes[rows]
+        bounds = np.searchsorted(offset[by], np.arange(int(sizes.max()) + 1))
+        last = np.full(len(text) + 1, -1, np.int64)  # the piece that ends there
+        first = bounds[1]
+        last[ends[:first]] = rows[:first]
+        for low, high in zip(bounds[1:], np.r_[bounds[2:], len(starts)]):
+            before = last[starts[low:high]]
+            reached = np.flatnonzero(before >= 0) + low
+            reached = reached[self.may_follow(last[starts[reached]], rows[reached])]
+            last[ends[reached]] = rows[reached]
+        # Back along the surviving edges, all words at a time.
+        at, found = begins + sizes, []
+        going = np.arange(len(sizes))
+        counts = np.zeros(len(sizes), np.int64)
+        failed = np.zeros(len(sizes), bool)
+        while len(going):
+            piece = last[at[going]]
+            failed[going[piece < 0]] = True
+            going, piece = going[piece >= 0], piece[piece >= 0]
+            found.append((going, piece))
+            counts[going] += 1
+            at[going] -= self.piece_sizes[piece]
+            going = going[at[going] > begins[going]]
+        counts[failed] = 0
+        ends = np.cumsum(counts)
+        out = np.empty(int(ends[-1]), np.int64)
+        for nth, (going, piece) in enumerate(found):
+            good = ~failed[going]
+            out[ends[going[good]] - 1 - nth] = piece[good]
+        return out, counts
+
+    def relax_apart(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word, edge by edge."""
         text = "".join(w + "\0" for w in words)
         starts, rows = self.edges(text)
         ends = starts + self.piece_sizes[rows]
@@ -250,12 +392,11 @@ class Pieces:
             block.append(word)
             size += len(word) + 1
             if size >= INDEXED or k == len(words):
-                found = self.relax(block)
-                lengths = np.fromiter(map(len, found), np.int64, len(found))
+                ids, lengths = self.relax(block)
                 first = len(self.begins) - 1
-                self.known.update((w, first + i) for i, w in enumerate(block))
+                self.known.update(zip(block, range(first, first + len(block))))
                 self.begins = np.r_[self.begins, self.begins[-1] + np.cumsum(lengths)]
-                self.flat = np.r_[self.flat, np.fromiter((x for ids in found for x in ids), np.int32, int(lengths.sum()))]
+                self.flat = np.r_[self.flat, ids.astype(np.int32)]
                 block, size = [], 0
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -263,10 +404,8 @@ class Pieces:
         if len(self.known) > KEPT_WORDS:
             self.start()
         chunks = [self.splitter.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        fresh = {w for words in chunks for w in words if w not in self.known}
-        self.learn(sorted(fresh))
-        known = self.known
-        numbers = np.fromiter((known[w] for words in chunks for w in words), np.int64)
+        self.learn(sorted(set(chain.from_iterable(chunks)) - self.known.keys()))
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(chunks)), np.int64)
         begins = self.begins[numbers]
         sizes = self.begins[numbers + 1] - begins
         ends = np.r_[0, np.cumsum(sizes)]
@@ -295,37 +434,58 @@ def _parts(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordB
 def encode(docs: DataFrame, text: str = "text", model: str | None = None, ids: str = "ids") -> DataFrame:
     """The documents with an array of piece ids, empty for a null or empty text.
 
+    The column is named ``ids``, with underscores added until no column of ``docs`` has the name.
     ``model`` is the file's path on the workers.
     """
-    place = docs.columns.index(text)
+    return _coded(docs, text, model, fresh(ids, docs.columns), None)
+
+
+def decode(docs: DataFrame, ids: str = "ids", model: str | None = None, text: str = "decoded") -> DataFrame:
+    """The documents with the text that their ids stand for; null ids give null.
+
+    The column is named ``decoded``, with underscores added until no column of ``docs`` has the name.
+    """
+    place, text = docs.columns.index(ids), fresh(text, docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = pieces(model or default_model())
         for part in _parts(batches, place):
-            flat, ends = coder.encode([t or "" for t in part.column(place).to_pylist()])
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, ids])
+            texts = [None if x is None else coder.decode(x) for x in part.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, text])
 
-    return map_arrow(docs, run, with_field(docs, ids, ArrayType(IntegerType())))
+    return map_arrow(docs, run, with_field(docs, text, StringType()))
 
 
-def decode(docs: DataFrame, ids: str = "ids", model: str | None = None, text: str = "decoded") -> DataFrame:
-    """The documents with the text that their ids stand for; null ids give null."""
-    place = docs.columns.index(ids)
+def encode_and_decode(docs: DataFrame, text: str = "text", model: str | None = None) -> DataFrame:
+    """:func:`encode` and then :func:`decode` in one pass over the documents; column names follow the same rule."""
+    ids = fresh("ids", docs.columns)
+    return _coded(docs, text, model, ids, fresh("decoded", [*docs.columns, ids]))
+
+
+def _coded(docs: DataFrame, text: str, model: str | None, ids: str, decoded: str | None) -> DataFrame:
+    place = docs.columns.index(text)
+    schema = with_field(docs, ids, ArrayType(IntegerType()))
+    if decoded:
+        schema = schema.add(decoded, StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = pieces(model or default_model())
         for part in _parts(batches, place):
-            texts = [None if x is None else coder.decode(x) for x in part.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, text])
+            flat, ends = coder.encode([t or "" for t in part.column(place).to_pylist()])
+            columns = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))]
+            if decoded:
+                listed = flat.tolist()
+                texts = [coder.decode(listed[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
+                columns.append(pa.array(texts, pa.string()))
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], schema.names)
 
-    return map_arrow(docs, run, with_field(docs, text, StringType()))
+    return map_arrow(docs, run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256, round_trip) per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = decode(encode(docs))
+    both = encode_and_decode(docs)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

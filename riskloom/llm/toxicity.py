@@ -226,8 +226,11 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
-    """The documents with a score from 0 to 1; null and empty texts score as texts without windows."""
-    place = docs.columns.index(text)
+    """The documents with a score from 0 to 1; null and empty texts score as texts without windows.
+
+    The column is named ``score``, with underscores added until no column of ``docs`` has the name.
+    """
+    place, into = docs.columns.index(text), fresh(into, docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gains = windows(model.toxic, model.ordinary)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -172,6 +173,41 @@ def test_small_blocks_and_forgetting(coder, model, monkeypatch):
         assert ids.tolist() == model.encode(text)
 
 
+def test_pairs_that_stay(coder):
+    """The verdict from merges taken back equals merging both pieces anew."""
+    rng = np.random.default_rng(2)
+    common = np.array([i for i, x in enumerate(coder.names) if len(x) <= 4 and x.isascii()])
+    a = np.r_[rng.integers(0, len(coder.names), 3000), rng.choice(common, 3000)]
+    b = np.r_[rng.integers(0, len(coder.names), 3000), rng.choice(common, 3000)]
+    easy = coder.plain[a] & coder.plain[b]
+    a, b = a[easy], b[easy]
+    names = coder.names
+    merged = [coder.merged(names[x] + names[y]) == [names[x], names[y]] for x, y in zip(a, b)]
+    assert coder.stay(a, b).tolist() == merged and 0 < sum(merged) < len(merged)
+
+
+def test_long_and_odd_words_and_a_small_store_of_pairs(monkeypatch, model):
+    monkeypatch.setattr(pieces, "LOCKSTEP", 6)
+    monkeypatch.setattr(pieces, "PAIR_BITS", 3)
+    own = pieces.Pieces(pieces.default_model())
+    texts = ["the " + "interesting" * 30, "漢字漢字 the漢字er \x00 a\x00b", "", "    x    y", "weather 🙂 thererer"] * 2
+    ids, ends = own.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [model.encode(t) for t in texts]
+
+
+def test_pieces_with_clashing_columns(awkward):
+    docs = awkward.withColumnRenamed("spans", "ids").withColumnRenamed("size", "decoded")
+    coded = pieces.encode(docs)
+    assert coded.columns == [*docs.columns, "ids_"]
+    back = pieces.decode(coded, "ids_")
+    assert back.columns == [*coded.columns, "decoded_"]
+    assert pieces.encode_and_decode(docs).columns == [*docs.columns, "ids_", "decoded_"]
+    key = lambda r: (str(r["doc_id"]), r["ids"])
+    rows = sorted(back.collect(), key=key)
+    assert sorted(pieces.encode_and_decode(docs).collect(), key=key) == rows
+    assert all(r["decoded_"] == (r["text"] or "") for r in rows)
+
+
 def test_pieces_of_documents(spark, sf_dir, model, awkward, nothing):
     rows = pieces.decode(pieces.encode(awkward)).collect()
     assert len(rows) == 10 and all(r["decoded"] == (r["text"] or "") and r["ids"] == model.encode(r["text"] or "") for r in rows)
