@@ -22,6 +22,7 @@ from riskloom.plans.queries import Query, _flat_alerts, _saved, tidy
 from riskloom.session import work_dir
 from riskloom.sources import tables, wire
 from riskloom.sources.tables import table
+from riskloom.streaming import quality
 from riskloom.streaming import scoring as stream
 from riskloom.streaming.history import read_history, recent_history_stream
 from riskloom.streaming.velocity import velocity_stream
@@ -394,6 +395,44 @@ def _history_stats_stream(spark: SparkSession, sf: str) -> DataFrame:
     return last.select(F.col("key").alias("model"), "last.*")
 
 
+def _judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels with their alerts from two streams: labels up to an hour around their alerts, every fifth alert twice."""
+    start = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("c_custkey") * 60)
+    labels = fx.credit_profile(spark, sf).select(
+        F.col("c_custkey").cast("string").alias("transaction_id"), "is_default",
+        (start + F.make_dt_interval(mins=F.pmod(F.col("c_custkey") * 17, F.lit(100)) - 40)).alias("ts"),
+    )
+    number = F.col("transaction_id").cast("long")
+    sent = F.timestamp_seconds(F.lit(1_700_000_000) + number * 60)
+    alerts = fx.alerts(spark, sf).select("transaction_id", "risk_level", "risk_score", sent.alias("ts"))
+    earlier = alerts.filter(number % 5 == 0).withColumns({"risk_score": F.lit(1.0), "risk_level": F.lit("critical"), "ts": F.col("ts") - F.expr("interval 3 minutes")})
+    sides = []
+    for name, rows in (("labels", labels), ("alerts", alerts.unionByName(earlier))):
+        folder = work_dir(spark, f"arriving-{name}")
+        schema = fx.arrivals(spark, rows, folder, batches=3)
+        sides.append(stream.table_source(spark, folder, schema))
+    found = _appended(spark, quality.labels_with_alerts(*sides), "judged")
+    return found.filter("transaction_id is not null")
+
+
+def _judged_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(_judged(spark, sf).select("transaction_id", "is_default", "predicted_score", "has_alert"))
+
+
+def _judged_alerts(label: int) -> Query:
+    return lambda spark, sf: _judged(spark, sf).filter(f"has_alert and is_default = {label}").select("transaction_id", "alert.risk_level")
+
+
+def _judged_misses(spark: SparkSession, sf: str) -> DataFrame:
+    return _judged(spark, sf).filter("not has_alert and is_default = 1").select("transaction_id")
+
+
+def _judged_quality(spark: SparkSession, sf: str) -> DataFrame:
+    found = _judged(spark, sf)
+    seen = found.filter("has_alert").select("transaction_id", F.col("predicted_score").alias("risk_score"))
+    return tidy(ranking.alert_quality(found.select("transaction_id", "is_default"), seen))
+
+
 def _stream_velocity(spark: SparkSession, sf: str) -> DataFrame:
     found = _appended(spark, velocity_stream(_arriving_events(spark, sf)), "velocity")
     return tidy(found.withColumns({n: F.round(n, 4) for n in ("tx_amount_last_hour", "tx_amount_last_24h")}))
@@ -444,6 +483,11 @@ def catalogue() -> dict[str, Query]:
         "f4_top_importances": _top_importances,
         "e3_recent_latency_stream": _history_stats_stream,
         "e4_recent_history_stream": _history_stream,
+        "e22_alert_quality_stream": _judged_quality,
+        "g1_labels_with_alerts_stream": _judged_labels,
+        "g2_right_alerts_stream": _judged_alerts(1),
+        "g2_false_alerts_stream": _judged_alerts(0),
+        "g3_labels_without_alert_stream": _judged_misses,
         "j3_boosted_xgboost": _fit_and_score("xgboost"),
         "j3_boosted_lightgbm": _fit_and_score("lightgbm"),
         "j3_boosted_catboost": _fit_and_score("catboost"),

@@ -692,7 +692,7 @@ def _stream_statements() -> dict[str, str]:
                mean_us, {", ".join(r(near(n), n) for n in _RANKS)}, max_us, {r('agreement', 'avg_agreement')},
                level_low, level_medium, level_high, level_critical, score_buckets, models
         FROM whole JOIN listed USING (w)"""
-    metric = _metric_statements()
+    metric, tables = _metric_statements(), _table_statements()
     history = metric["e4_recent_history"]
     velocity = list(_velocity_statements().values())[:9]
     return {
@@ -706,6 +706,8 @@ def _stream_statements() -> dict[str, str]:
         "k4_full_report": report,
         "k4_full_report_stream": report,
         "e4_recent_history_stream": history,
+        "e22_alert_quality_stream": _evaluation_statements()["e22_alert_quality"],
+        **{f"{n}_stream": tables[n] for n in tables if n.startswith(("g1_", "g2_", "g3_"))},
         "e3_recent_latency_stream": f"""
             SELECT s.*, p.pushed FROM ({_latency("model", _RANKS, f"({history})")}) s
             JOIN (SELECT event_type AS model, count(*) AS pushed FROM events GROUP BY 1) p USING (model)""",
