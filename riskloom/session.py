@@ -27,6 +27,14 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "riskl
     return spark
 
 
+def compile_small_methods(spark: SparkSession) -> None:
+    """Let stages whose generated code the JVM would refuse to compile run operator by operator.
+
+    Methods above 8,000 bytes of code are interpreted for good, which costs more than fusing operators saves.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 

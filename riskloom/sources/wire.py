@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.features import BILL_COLUMNS, PAID_COLUMNS, PAY_COLUMNS
+from riskloom.session import compile_small_methods
 
 # Wire fields by type. Each is accepted in lower case or under its alias.
 INTEGER_FIELDS = ("sex", "education", "marriage", "age", *PAY_COLUMNS)
@@ -136,6 +139,61 @@ def _usual_shape(upper: bool) -> str:
     return f"OBJECT<{before}{time}{', ' if after else ''}{after}>"
 
 
+# An object of plain pairs and nothing else: no nesting, no escapes, no null or true, nothing after it. Possessive, so linear.
+_FLAT = r'^\s*+\{(?:\s*+"\w++":\s*+(?:"[^"\\]*+"|[-0-9][-+.0-9eE]*+)\s*+(?:,(?=\s*+")|(?=\})))++\}\s*+\z'
+
+
+def _typed_parse(text: Column) -> Column:
+    """All fields from one typed parse of a message in the spelling that it seems to use; null where one does not fit."""
+
+    def schema(spelling: dict[str, str]) -> str:
+        return ", ".join(f"{spelling[n]} {_SQL_TYPES.get(n, 'double')}" for n in FIELD_ALIASES) + ", timestamp string"
+
+    plain = schema({n: n for n in FIELD_ALIASES})
+    upper = F.from_json(text, schema(FIELD_ALIASES)).cast(f"struct<{plain.replace(' ', ':').replace(',:', ',')}>")
+    return F.when(_is_upper(text), upper).otherwise(F.from_json(text, plain))
+
+
+def _verdict(text: Column, fast: str) -> Column:
+    """(sure, fault): whether the typed parse tells all about a message, and then the first field at fault.
+
+    An ordinary message is a flat object in which every field was found, finite and of its type, and which has as many
+    keys as fields were found: so each comes once, in one spelling, and there are no others. A flat object that is
+    not ordinary is judged by its keys, if none repeats and none is of the other spelling. A typed parse reads a
+    number as text too, so the quotes of the texts are looked for. The rest goes the long way, whatever it is.
+    """
+    field = lambda n: F.col(f"{fast}.{n}")
+    quoted = lambda *names: reduce(
+        lambda a, b: a | b, [F.contains(text, F.lit(f'"{n}":{blank}"')) for n in names for blank in ("", " ")]
+    )
+    good = {n: field(n).isNotNull() for n in FIELD_ALIASES}
+    good["transaction_id"] &= quoted("transaction_id", FIELD_ALIASES["transaction_id"])
+    for n in DOUBLE_FIELDS:
+        good[n] &= F.abs(field(n)) < F.lit(float("inf"))
+    time = field("timestamp")
+    timed = quoted("timestamp") & _is_time(time)
+    flat = text.rlike(_FLAT)
+    count = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('":'), F.lit('"')))
+    wanted = F.lit(len(FIELD_ALIASES)) + time.isNotNull().cast("int")
+    ordinary = (count == wanted) & reduce(lambda a, b: a & b, good.values()) & (time.isNull() | timed) & flat
+
+    keys = F.regexp_extract_all(text, F.lit(r'"(\w++)":'))
+    other = F.when(_is_upper(text), F.array(*map(F.lit, FIELD_ALIASES))).otherwise(F.array(*map(F.lit, FIELD_ALIASES.values())))
+    told = flat & (F.size(F.array_distinct(keys)) == F.size(keys)) & ~F.arrays_overlap(keys, other)
+    faults = [F.when(~F.coalesce(ok, F.lit(False)), n) for n, ok in good.items()]
+    late = F.when(F.array_contains(keys, "timestamp") & ~F.coalesce(timed, F.lit(False)), "timestamp")
+    verdict = lambda sure, fault: F.struct(F.lit(sure).alias("sure"), fault.cast("string").alias("fault"))
+    return (
+        F.when(ordinary, verdict(True, F.lit(None)))
+        .when(told, verdict(True, F.coalesce(*faults, late)))
+        .otherwise(verdict(False, F.lit(None)))
+    )
+
+
+def _is_upper(text: Column) -> Column:
+    return F.contains(text, F.lit(f'"{FIELD_ALIASES["limit_bal"]}"'))
+
+
 def _is_usual() -> Column:
     """A quick test that good messages pass: usual shape, numbers in range, valid time.
 
@@ -157,18 +215,27 @@ def decode_transactions(messages: DataFrame, column: str = "value") -> DataFrame
     (``30.0`` is no integer, a number is no id). Unknown fields are ignored. A missing timestamp
     becomes the current time; one that is present must be valid. The reason is ``malformed`` or the
     first field at fault.
+
+    Flat messages take one typed parse and a scan of their text; only the others are opened as variants. Fields of
+    a rejected message may be null.
     """
-    parsed = _once(messages, "doc", _document(F.col(column)))
+    compile_small_methods(messages.sparkSession)
+    text = F.col(column)
+    read = _once(messages, "_fast", _typed_parse(text))
+    tried = _once(read, "_verdict", _verdict(text, "_fast"))
+    sure = F.col("_verdict.sure")
+    parsed = _once(tried, "doc", F.when(~sure, _document(text)))
     kind = F.expr("schema_of_variant(try_variant_get(doc, '$[0]', 'variant'))")
     is_single = F.expr("try_variant_get(doc, '$[1]', 'variant') is null")
-    opened = _once(_once(parsed, "kind", F.when(is_single, kind)), "typed", _typed())
+    opened = _once(_once(parsed, "kind", F.when(~sure & is_single, kind)), "typed", F.when(~sure, _typed()))
     is_object = F.coalesce(F.col("kind").startswith("OBJECT"), F.lit(False))
-    reason = F.when(~is_object, "malformed").when(~_is_usual(), _fault())
-    time = F.try_to_timestamp(F.upper(F.col("typed.timestamp")))
+    reason = F.when(sure, F.col("_verdict.fault")).when(~is_object, "malformed").when(~_is_usual(), _fault())
+    found = {n: F.when(sure, F.col(f"_fast.{n}")).otherwise(F.col(f"typed.{n}")) for n in (*FIELD_ALIASES, "timestamp")}
+    time = F.try_to_timestamp(F.upper(found.pop("timestamp")))
     names = {*FIELD_ALIASES, "timestamp"}
     return opened.select(
         *[F.col(c) for c in messages.columns if c.lower() not in names],
-        *[F.col(f"typed.{n}").alias(n) for n in FIELD_ALIASES],
+        *[column.alias(n) for n, column in found.items()],
         F.coalesce(time, F.current_timestamp()).alias("timestamp"),
         reason.alias("reject_reason"),
     )

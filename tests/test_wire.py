@@ -1,6 +1,7 @@
 """Strict decoding of transaction messages."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +130,72 @@ def test_alert_json_fields(spark, sf_dir):
     parsed = json.loads(row["value"])
     assert list(parsed) == list(ALERT_FIELDS) and parsed["transaction_id"] == row["key"]
     assert parsed["risk_level"] in ("medium", "high", "critical")
+
+
+def mutated_messages(n=500):
+    """Messages with faults of all kinds, in both spellings and several ways to write them."""
+    rng = random.Random(21)
+    odd = ["x", "30", "NaN", 30.0, 3e400, True, None, {"a": 1}, [1], -5, 2**40, 1e300, "", '"', "\\", "é", 0.1]
+    out = []
+    for i in range(n):
+        upper = rng.random() < 0.5
+        pairs = []
+        for name, alias in wire.FIELD_ALIASES.items():
+            value = str(i) if name == "transaction_id" else rng.randrange(9) if name in wire.INTEGER_FIELDS else rng.choice([1, 2.5, 1e3, 123.456789012345])
+            pairs.append([alias if upper else name, value])
+        if rng.random() < 0.5:
+            pairs.append(["timestamp", rng.choice(["2024-01-01T00:00:00Z", "2024-01-01 10:00:00.25+01:00"])])
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            at = rng.randrange(len(pairs))
+            kind = rng.randrange(9)
+            if kind == 0:
+                pairs[at][1] = rng.choice(odd)
+            elif kind == 1:
+                pairs.pop(at)
+            elif kind == 2:
+                pairs.insert(rng.randrange(len(pairs)), list(pairs[at]))
+            elif kind == 3:
+                pairs[at][0] = pairs[at][0].swapcase()
+            elif kind == 4:
+                pairs.append(["more", rng.choice(odd)])
+            elif kind == 5:
+                pairs += [["more", 1], ["more", 2]]
+            elif kind == 6:
+                pairs.append(["timestamp", rng.choice(["2024-01-01", "2024-13-01T00:00:00Z", 5, None, "2024-01-01T00:00:00Z"])])
+            elif kind == 7:
+                pairs.append(["limit_bal" if upper else "LIMIT_BAL", 1.0])
+            else:
+                rng.shuffle(pairs)
+        comma, colon = rng.choice([(",", ":"), (", ", ": "), (" ,\n", " : ")])
+        text = "{" + comma.join(json.dumps(k) + colon + json.dumps(v, ensure_ascii=rng.random() < 0.5) for k, v in pairs) + "}"
+        edit = rng.random()
+        if edit < 0.05:
+            text = text[: rng.randrange(len(text))]
+        elif edit < 0.1:
+            text += rng.choice([" ", "\n", "x", "{}", "]", ",", "}"])
+        elif edit < 0.13:
+            text = rng.choice([" ", "[", "x"]) + text
+        elif edit < 0.16:
+            text = text.replace(":", ":0", 1) if rng.random() < 0.5 else text.replace("}", ",}")
+        out.append(text)
+    return out + [None, "", "{}", "[]", "null", "{", '{"a":1}', '"x"']
+
+
+def test_quick_verdicts_equal_the_long_way(spark, monkeypatch):
+    messages = spark.createDataFrame([(i, m) for i, m in enumerate(mutated_messages())], "n int, value string").persist()
+    quick = {r["n"]: r for r in wire.decode_transactions(messages).collect()}
+    sure = wire._once(wire._once(messages, "_fast", wire._typed_parse(F.col("value"))), "_verdict", wire._verdict(F.col("value"), "_fast"))
+    judged = {r["n"]: r["_verdict"]["sure"] for r in sure.collect()}
+    unsure = F.struct(F.lit(False).alias("sure"), F.lit(None).cast("string").alias("fault"))
+    monkeypatch.setattr(wire, "_verdict", lambda text, fast: unsure)
+    slow = {r["n"]: r for r in wire.decode_transactions(messages).collect()}
+    assert quick.keys() == slow.keys()
+    for n, row in slow.items():
+        assert quick[n]["reject_reason"] == row["reject_reason"], row["value"]
+        if row["reject_reason"] is None and row["value"].count("timestamp"):
+            assert quick[n] == row
+        elif row["reject_reason"] is None:
+            assert quick[n].asDict() | {"timestamp": 0} == row.asDict() | {"timestamp": 0}
+    accepted = [n for n, r in slow.items() if r["reject_reason"] is None]
+    assert len(accepted) > 100 and sum(judged[n] for n in accepted) > 0.5 * len(accepted)
+    assert sum(judged[n] for n in judged if n not in accepted) > 20
