@@ -20,7 +20,7 @@ from riskloom.plans import training
 from riskloom.plans.scoring import score_transactions
 from riskloom.plans.queries import Query, _flat_alerts, _saved, tidy
 from riskloom.session import work_dir
-from riskloom.sources import tables, wire
+from riskloom.sources import replay, tables, wire
 from riskloom.sources.tables import table
 from riskloom.streaming import quality
 from riskloom.streaming import scoring as stream
@@ -280,6 +280,31 @@ def _reject_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read.groupBy("reject_reason").agg(F.count("*").alias("n"))
 
 
+def _paced(spark: SparkSession, rows: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """A table's rows as a stream that takes about three seconds to come, and their number."""
+    folder = work_dir(spark, purpose)
+    rows.repartition(4).write.parquet(folder)
+    n = spark.read.parquet(folder).count()
+    return replay.replayed(spark, folder, max(1.0, n / 3)), n
+
+
+def _published_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    messages, n = _paced(spark, fx.transaction_json(spark, sf).select("value"), "paced-messages")
+    alerts, out = _alerts_of(spark, messages), work_dir(spark, "published")
+    stream.run_for(replay.publishing(wire.to_alert_json(alerts), out), work_dir(spark, "published-state"), n)
+    sent = replay.published(spark, out, "key string, value string")
+    return _flat_alerts(sent.select(F.from_json("value", alerts.schema).alias("alert")).select("alert.*"))
+
+
+def _paced_replay(spark: SparkSession, sf: str) -> DataFrame:
+    sent = fx.credit_profile(spark, sf).select(wire.to_transaction_json(KEY, F.current_timestamp()).alias("value"))
+    messages, n = _paced(spark, sent, "paced-table")
+    ids, out = wire.accepted(wire.decode_transactions(messages)).select("transaction_id"), work_dir(spark, "paced")
+    stream.run_for(replay.publishing(ids, out), work_dir(spark, "paced-state"), n)
+    found = replay.published(spark, out, ids.schema)
+    return found.agg(F.count("*").alias("n"), F.countDistinct("transaction_id").alias("n_distinct"))
+
+
 def _complete(spark: SparkSession, aggregated: DataFrame, purpose: str) -> DataFrame:
     """Run a stateful aggregation over all input and read its final state.
 
@@ -511,6 +536,8 @@ def catalogue() -> dict[str, Query]:
         "k4_full_report_stream": _full_report_stream,
         "k5_progress": _progress,
         "k6_restarted_stream": _restarted,
+        "k6_published_alerts": _published_alerts,
         "k7_replayed_table": _replayed,
+        "k7_paced_table": _paced_replay,
         "l_stream_velocity": _stream_velocity,
     }

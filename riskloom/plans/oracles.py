@@ -714,6 +714,8 @@ def _stream_statements() -> dict[str, str]:
         "k5_progress": over("predicted", f"SELECT count(*) AS processed FROM {good}"),
         "k6_restarted_stream": scoring["d24_scoring_job"],
         "l_stream_velocity": f"SELECT * FROM ({velocity[0]})" + "".join(f" JOIN ({v}) USING (event_id)" for v in velocity[1:]),
+        "k6_published_alerts": scoring["d24_scoring_job"],
+        "k7_paced_table": "SELECT count(*) AS n, count(DISTINCT c_custkey) AS n_distinct FROM customer",
         "k7_replayed_table": "SELECT count(*) AS n, count(DISTINCT c_custkey) AS n_distinct FROM customer",
     }
 

@@ -8,6 +8,7 @@ here gives the same output when a micro-batch is repeated.
 from __future__ import annotations
 
 import threading
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,20 @@ def run_all(writer, checkpoint: str) -> StreamingQuery:
     return query
 
 
+def run_for(writer, checkpoint: str, rows: int, seconds: float = 300.0) -> StreamingQuery:
+    """Process an endless source until so many rows were read and their micro-batch is done, and stop."""
+    query = writer.option("checkpointLocation", checkpoint).trigger(processingTime="500 milliseconds").start()
+    ends = time.monotonic() + seconds
+    try:
+        while sum(p["numInputRows"] for p in query.recentProgress) < rows:
+            if time.monotonic() > ends:
+                raise TimeoutError(f"{rows} rows did not come within {seconds} s")
+            query.awaitTermination(0.2)
+    finally:
+        query.stop()
+    return query
+
+
 def file_sink(alerts: DataFrame, folder: str):
     """Alerts as JSON lines. The file sink commits each micro-batch exactly once."""
     return alerts.writeStream.format("json").option("path", folder).outputMode("append")

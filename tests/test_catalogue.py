@@ -17,6 +17,8 @@ SAMPLE = (
     "d23_anomaly_flag", "d24_scoring_job", "e4_recent_history", "e9_pipeline_summary", "e11_evaluation",
     "e12_roc_auc_ties", "e17_grid_threshold", "e19_default_and_optimal", "e20_classification_report", "f2_average_rank",
     "f10_win_tally", "g1_labels_with_alerts", "h3_score_maps", "i4_stratified_folds", "j1_positive_weight",
+    "e3_recent_latency_stream", "e4_recent_history_stream", "g1_labels_with_alerts_stream", "k4_full_report",
+    "k4_full_report_stream", "k6_published_alerts", "k7_paced_table", "l_stream_velocity",
     "k2_reject_stream", "k3_running_totals", "l2_tx_amount_last_hour", "l5_unique_merchants_24h", "l8_time_since_last_tx",
 )
 SQL = entry_points.oracle_sql()
