@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -49,24 +49,41 @@ class IsolationForest:
         return IsolationForest(saved.drop("sample"), tuple(features), saved.agg(F.max("sample")).first()[0])
 
 
+def _takers(key: str, trees: int, share: float, seed: int) -> tuple[Column, Column]:
+    """(first, all): the trees that a row with this key passes for, each with probability ``share``.
+
+    The gap to the next one is drawn at once, from a geometric distribution, so trees that don't take the row cost
+    nothing. ``first`` is not below ``trees`` if none does.
+    """
+    scale = math.log1p(-share) if share < 1 else -math.inf
+
+    def gap(after: Column) -> Column:
+        uniform = (F.pmod(F.xxhash64(F.lit(seed), F.lit("gap"), after, key), F.lit(1 << 53)) + 0.5) / F.lit(float(1 << 53))
+        return F.floor(F.ln(uniform) / F.lit(scale)).cast("long")
+
+    first = gap(F.lit(-1).cast("long"))
+    start = F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("taken"))
+
+    def step(state: Column, _: Column) -> Column:
+        onward = F.struct((state["at"] + 1 + gap(state["at"])).alias("at"), F.array_append(state["taken"], state["at"]).alias("taken"))
+        return F.when(state["at"] < trees, onward).otherwise(state)
+
+    return first, F.aggregate(F.sequence(F.lit(1), F.lit(trees)), start, step, lambda state: state["taken"])
+
+
 def draw_samples(
     df: DataFrame, key: str, features: Sequence[str], trees: int, sample: int, seed: int, rows: int
 ) -> DataFrame:
     """``sample`` uniform rows of all ``rows`` for each tree, without replacement within a tree.
 
-    A hash of tree and key decides which trees may take a row; a little more than ``sample`` rows
-    pass per tree, and the smallest hashes of those are its sample. So every tree draws from the
-    whole table in one pass, and only rows that pass are moved.
+    A little more than ``sample`` rows pass per tree, and those with the smallest hashes of tree and key are its
+    sample. So every tree draws from the whole table in one pass, and only rows that pass are made and moved.
     """
     enough = sample + 8 * math.sqrt(sample) + 16
-    share = min(1.0, enough / max(rows, 1))
-    drawn = df.select(
-        F.col(key).alias("_key"),
-        F.array(*[F.col(c).cast("double") for c in features]).alias("values"),
-        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
-    ).withColumn("_draw", F.xxhash64(F.lit(seed), "tree", "_key"))
-    passed = drawn.filter(F.pmod("_draw", F.lit(2**40)) < F.lit(math.ceil(share * 2**40)))
-    order = W.partitionBy("tree").orderBy(F.pmod("_draw", F.lit(2**40)), "_key")
+    first, taken = _takers("_key", trees, min(1.0, enough / max(rows, 1)), seed)
+    keyed = df.select(F.col(key).alias("_key"), F.array(*[F.col(c).cast("double") for c in features]).alias("values"))
+    passed = keyed.filter(first < trees).select("_key", "values", F.explode(taken.cast("array<int>")).alias("tree"))
+    order = W.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", "_key"), "_key")
     ranked = passed.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample)
     return ranked.select("tree", "_rank", "_key", "values")
 

@@ -167,3 +167,23 @@ def test_search_returns_every_trial(spark, rows):
     _, best, trials = learn.search(rows, "random_forest", 2, 2, grid=grid)
     assert trials.count() == 2 and best in learn.draw(grid, 2)
     assert learn.best_trials(trials).count() == 1
+
+
+def test_draw_makes_only_rows_that_trees_take(spark):
+    """Rows made are fewer than twice those kept, every tree takes a row as often as any other, and gaps follow the share."""
+    df = spark.range(50_000).withColumn("_key", F.col("id"))
+    trees, sample = 40, 256
+    share = (sample + 8 * sample**0.5 + 16) / 50_000
+    first, taken = isolation._takers("_key", trees, share, 9)
+    made = df.select("_key", first.alias("first"), taken.alias("taken")).persist()
+    assert made.filter((F.col("first") >= trees) != (F.size("taken") == 0)).isEmpty()
+    assert made.filter(F.size("taken") > F.size(F.array_distinct("taken"))).isEmpty()
+    rows = made.select("_key", F.explode("taken").alias("tree"))
+    per_tree = {r["tree"]: r["count"] for r in rows.groupBy("tree").count().collect()}
+    assert set(per_tree) == set(range(trees)) and sum(per_tree.values()) < 2 * trees * sample
+    spread = (50_000 * share) ** 0.5
+    assert all(abs(n - 50_000 * share) < 5 * spread for n in per_tree.values())
+    again = rows.groupBy("_key").count().filter("count > 1").count()  # as many pairs of trees as chance makes
+    assert abs(again - 50_000 * (trees * share) ** 2 / 2) < 0.5 * 50_000 * (trees * share) ** 2 / 2
+    every, _ = isolation._takers("_key", trees, 1.0, 9)[1], None
+    assert df.limit(20).filter(F.size(every) != trees).isEmpty()
