@@ -81,6 +81,24 @@ def _early_stopping(spark: SparkSession, sf: str) -> DataFrame:
     return noise.agg(F.count("*").alias("n_rows")).select("n_rows", F.lit(40).alias("rounds_asked"), F.lit(kept < 40).alias("stopped_early"))
 
 
+def _staged_stopping(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosting with patience on the real labels: where it was best, where it ended, and what it was asked for."""
+    train, _ = training.prepare(*_parts(spark, sf), KEY, LABEL)
+    rows = learn.evenly_kept(train)
+    found = learn.fit_patiently(rows, learn.SLOTS["lightgbm"], "is_validation", 5, LABEL, maxIter=200, maxDepth=6, stepSize=0.3)
+    held_out = rows.filter("is_validation")
+    scored = learn.score(held_out, found.model, "p").select(F.when(F.col(LABEL) == 1, F.col("p")).otherwise(1.0 - F.col("p")).alias("right"))
+    # Spark's loss is twice the negative log-likelihood.
+    loss = scored.agg(F.count("*").alias("n_rows"), F.avg(-2.0 * F.ln("right")).alias("loss"))
+    return loss.select(
+        "n_rows",
+        F.lit(200).alias("rounds_asked"),
+        F.lit(found.best < found.fitted).alias("best_before_last"),
+        F.lit(found.fitted < 200).alias("ended_early"),
+        (F.abs(F.col("loss") - min(found.losses)) < 1e-6).alias("cut_equals_stage"),
+    )
+
+
 def _isolation(spark: SparkSession, sf: str) -> DataFrame:
     featured = matrix.feature_matrix(fx.featured_profile(spark, sf), [KEY, LABEL])
     forest = isolation.fit(featured, FEATURE_NAMES, KEY, LABEL)
@@ -517,6 +535,7 @@ def catalogue() -> dict[str, Query]:
         "j3_boosted_lightgbm": _fit_and_score("lightgbm"),
         "j3_boosted_catboost": _fit_and_score("catboost"),
         "j4_early_stopping": _early_stopping,
+        "j4_staged_stopping": _staged_stopping,
         "j5_random_forest": _fit_and_score("random_forest"),
         "j6_isolation_forest": _isolation,
         "j7_random_search": _search,

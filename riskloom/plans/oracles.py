@@ -736,6 +736,10 @@ def _learning_statements() -> dict[str, str]:
         "j3_boosted_lightgbm": fitted("lightgbm"),
         "j3_boosted_catboost": fitted("catboost"),
         "j4_early_stopping": over("split_profile", f"SELECT {train} AS n_rows, 40 AS rounds_asked, true AS stopped_early"),
+        "j4_staged_stopping": f"""
+            WITH rows_ AS ({validation})
+            SELECT count(*) FILTER (WHERE split = 'validation') AS n_rows, 200 AS rounds_asked, true AS best_before_last,
+                   true AS ended_early, true AS cut_equals_stage FROM rows_""",
         "j5_random_forest": fitted("random_forest"),
         "j6_isolation_forest": over("credit_profile", """
             SELECT count(*) AS n, count(*) AS n_valid, 0e0 AS lowest, 1e0 AS highest, true AS late_payers_stand_out FROM credit_profile"""),

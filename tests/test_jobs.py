@@ -1,6 +1,7 @@
 """Training, anomaly detection and streams, in small."""
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskloom.operators import isolation, learn, matrix
@@ -187,3 +188,21 @@ def test_draw_makes_only_rows_that_trees_take(spark):
     assert abs(again - 50_000 * (trees * share) ** 2 / 2) < 0.5 * 50_000 * (trees * share) ** 2 / 2
     every, _ = isolation._takers("_key", trees, 1.0, 9)[1], None
     assert df.limit(20).filter(F.size(every) != trees).isEmpty()
+
+
+def test_patience_keeps_the_best_round(spark):
+    """Labels that are mostly noise: the loss turns soon, the model is cut there, and equals one of so many rounds."""
+    data = spark.range(400).select(
+        (F.col("id") % 5 == 0).alias("held"), (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).cast("int").alias("is_default"),
+        F.rand(1).alias("a"), F.rand(2).alias("b"),
+    )
+    rows = learn.evenly_kept(VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(data))
+    slot = learn.Slot("boosted", "positive", {"maxIter": 60})
+    found = learn.fit_patiently(rows, slot, "held", 3, maxDepth=4, stepSize=0.4)
+    assert found.losses[found.best - 1] == min(found.losses)
+    assert found.best + 3 <= found.fitted < 60 and found.model.getNumTrees == found.best
+    plain = learn.fit_slot(rows.filter("not held"), slot, maxIter=found.best, maxDepth=4, stepSize=0.4)
+    both = learn.score(learn.score(rows, found.model, "cut"), plain, "plain")
+    assert both.filter(F.abs(F.col("cut") - F.col("plain")) > 1e-9).isEmpty()
+    whole = learn.fit_patiently(rows, slot, "held", 50, maxIter=4, maxDepth=2)
+    assert whole.fitted == 4 and whole.model.getNumTrees == whole.best <= 4
