@@ -1,7 +1,8 @@
 """A corpus pipeline over ``documents``: toxicity, near-duplicates, secrets, source mix, token ids.
 
 ``run`` applies the stages in order, each written as Parquet below the shared folder and read again as
-the next one's input. All stages but the last return the columns of ``documents``.
+the next one's input; the folder of a stage goes when the next one is written. All stages but the last return the
+columns of ``documents``. Other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import mixing, pieces, secret_scan, simhash, toxicity
-from riskloom.llm.common import table
+from riskloom.llm.common import discard, table
 from riskloom.session import work_dir
 
 
@@ -38,7 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their piece ids."""
+    """The documents with their piece ids in a column ``ids``, with underscores added if the name is taken."""
     return pieces.encode(docs)
 
 
@@ -55,9 +56,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = work_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(folder), folder
     return docs
