@@ -22,6 +22,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -29,6 +30,7 @@ from pyspark.util import inheritable_thread_target
 from riskloom.functions.features import FEATURE_NAMES
 from riskloom.operators import evaluation, ranking
 from riskloom.operators.ensemble import to_long
+from riskloom.operators.penalised import PenalisedBoost, refit_leaves
 from riskloom.operators.splits import stratified_folds
 from riskloom.session import ensure_checkpoint_dir
 
@@ -46,7 +48,7 @@ class Slot:
 
 
 # Learner parameters by role. ``featureSubsetStrategy`` stands for column sampling,
-# ``minInstancesPerNode`` for minimum leaf size; leaf counts and leaf penalties have no counterpart.
+# ``minInstancesPerNode`` for minimum leaf size, ``l2_leaf_reg`` refits leaf values; leaf counts have no counterpart.
 SLOTS = {
     "xgboost": Slot("boosted", "positive", {"maxIter": 300, "stepSize": 0.1, "maxDepth": 6}),
     "catboost": Slot("boosted", "balanced", {"maxIter": 300, "stepSize": 0.1, "maxDepth": 6}),
@@ -91,6 +93,7 @@ GRIDS = {
         "maxIter": [100, 200, 300, 500],
         "stepSize": [0.01, 0.05, 0.1, 0.2],
         "maxDepth": [4, 5, 6, 7, 8],
+        "l2_leaf_reg": [1, 3, 5, 7],
     },
     "xgboost": {
         "maxIter": [100, 200, 300, 500],
@@ -149,7 +152,7 @@ def classifier(slot: Slot, label: str = "is_default", validation: str | None = N
 
     With ``validation``, boosting stops when the error on the rows flagged there stops improving.
     """
-    options = {**slot.parameters, **overrides}
+    options = {k: v for k, v in {**slot.parameters, **overrides}.items() if k != "l2_leaf_reg"}
     common = {"labelCol": label, "featuresCol": "features", "weightCol": WEIGHT, "seed": SEED}
     if slot.kind == "forest":
         return RandomForestClassifier(**common, **options)
@@ -169,7 +172,12 @@ def fit_slot(
     counted = data.filter(~F.col(validation)) if validation else None
     weighted = with_class_weight(data, label, slot.weighting, counted)
     needed = [label, "features", WEIGHT] + ([validation] if validation else [])
-    return classifier(slot, label, validation, **overrides).fit(weighted.select(*needed))
+    penalty = overrides.pop("l2_leaf_reg", slot.parameters.get("l2_leaf_reg"))
+    rows = weighted.select(*needed)
+    fitted = classifier(slot, label, validation, **overrides).fit(rows)
+    if penalty is None:
+        return fitted
+    return refit_leaves(fitted, rows.filter(~F.col(validation)) if validation else rows, float(penalty), label, WEIGHT)
 
 
 def staged_losses(model: Model, data: DataFrame) -> list[float]:
@@ -381,7 +389,19 @@ _READERS = {"boosted": GBTClassificationModel, "forest": RandomForestClassificat
 
 def save_models(models: Mapping[str, Model], folder: str) -> None:
     for name, model in models.items():
-        model.write().overwrite().save(f"{folder}/{name}")
+        if isinstance(model, PenalisedBoost):
+            model.save(f"{folder}/{name}", SparkSession.getActiveSession())
+        else:
+            model.write().overwrite().save(f"{folder}/{name}")
+
+
+def _loaded(slot: Slot, folder: str) -> Model:
+    if slot.kind == "boosted":
+        try:
+            return PenalisedBoost.load(folder, SparkSession.getActiveSession())
+        except AnalysisException:
+            pass  # no leaf values beside it: a plain model
+    return _READERS[slot.kind].load(folder)
 
 
 def load_models(folder: str, slots: Mapping[str, Slot] = SLOTS) -> dict[str, Model]:
@@ -389,7 +409,7 @@ def load_models(folder: str, slots: Mapping[str, Slot] = SLOTS) -> dict[str, Mod
     loaded, problems = {}, []
     for name, slot in slots.items():
         try:
-            loaded[name] = _READERS[slot.kind].load(f"{folder}/{name}")
+            loaded[name] = _loaded(slot, f"{folder}/{name}")
         except Exception as error:  # a missing or broken model must not stop the others
             problems.append(f"{name}: {type(error).__name__}")
     if not loaded:

@@ -127,6 +127,15 @@ def _search(spark: SparkSession, sf: str) -> DataFrame:
     return trials.select("model", "trial", F.size("params").alias("n_params"), valid.alias("valid"))
 
 
+def _penalised_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Trials over leaf penalties, and whether the best model keeps leaf values of its own for each tree."""
+    grid = {"maxIter": [3], "maxDepth": [3], "l2_leaf_reg": [1, 7]}
+    best, _, trials = learn.search(_assembled(spark, sf), "catboost", 2, 2, KEY, LABEL, grid)
+    refitted = len(best.values) == best.getNumTrees
+    valid = F.col("cv_f1").between(0, 1)
+    return trials.select("model", F.col("params")["l2_leaf_reg"].alias("l2_leaf_reg"), valid.alias("valid"), F.lit(refitted).alias("refitted"))
+
+
 def _best_trials(spark: SparkSession, sf: str) -> DataFrame:
     """Per model the number of trials, and whether the best one has the highest score of all."""
     rows = _assembled(spark, sf)
@@ -539,6 +548,7 @@ def catalogue() -> dict[str, Query]:
         "j5_random_forest": _fit_and_score("random_forest"),
         "j6_isolation_forest": _isolation,
         "j7_random_search": _search,
+        "j7_penalised_leaves": _penalised_search,
         "j8_best_parameters": _best_trials,
         "j9_validation_auc": _validation_auc,
         "j10_model_comparison": _comparison,

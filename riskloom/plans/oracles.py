@@ -744,6 +744,7 @@ def _learning_statements() -> dict[str, str]:
         "j6_isolation_forest": over("credit_profile", """
             SELECT count(*) AS n, count(*) AS n_valid, 0e0 AS lowest, 1e0 AS highest, true AS late_payers_stand_out FROM credit_profile"""),
         "j7_random_search": "SELECT 'random_forest' AS model, trial::INTEGER AS trial, 2 AS n_params, true AS valid FROM (VALUES (0), (1)) AS t(trial)",
+        "j7_penalised_leaves": "SELECT 'catboost' AS model, p AS l2_leaf_reg, true AS valid, true AS refitted FROM (VALUES ('1'), ('7')) AS t(p)",
         "j8_best_parameters": "SELECT 'xgboost' AS model, 2::BIGINT AS n_trials, true AS is_highest",
         "j9_validation_auc": f"""
             WITH rows_ AS ({validation})
