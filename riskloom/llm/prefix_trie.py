@@ -39,9 +39,10 @@ def power(base: int, exponent: Column, prime: int) -> Column:
     """``base ** exponent % prime`` for exponents below 2^32, by looking up eight bits at a time."""
     out = None
     for shift in range(0, 32, _LIMB):
-        powers = F.lit([pow(base, e << shift, prime) for e in range(1 << _LIMB)])
+        # As one text: built value by value, such arrays cost the driver more than the query.
+        powers = F.expr(f"array({', '.join(f'{pow(base, e << shift, prime)}L' for e in range(1 << _LIMB))})")
         limb = F.shiftright(exponent.cast("long"), shift).bitwiseAND(F.lit((1 << _LIMB) - 1))
-        factor = F.get(powers, limb.cast("int")).cast("long")
+        factor = F.get(powers, limb.cast("int"))
         out = factor if out is None else out * factor % prime
     return out
 
