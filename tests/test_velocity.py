@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from riskloom.operators.running import SLICE
 from riskloom.plans import fixtures as fx
 from riskloom.session import work_dir
 from riskloom.streaming import scoring as stream
-from riskloom.streaming.velocity import NONE, Ring, velocity_stream
+from riskloom.streaming.velocity import NONE, CardVelocity, Ring, velocity_stream
 from test_operators import brute_velocity
 
 SCHEMA = "event_id long, user_id int, event_type string, ts timestamp_ntz, value double"
@@ -138,3 +139,67 @@ def test_ring_holds_a_day_however_events_are_dealt(step):
     ring.move(rows[-1][0] + velocity.DAY + 1)
     ring.write()
     assert not states[1] and not states[2] and ring.newest == NONE
+
+
+class Listed(list):
+    """A list state that counts how often it is called."""
+
+    calls = 0
+
+    def __getattribute__(self, name):
+        if name in ("exists", "get", "put", "appendList", "clear"):
+            Listed.calls += 1
+        return super().__getattribute__(name)
+
+    def exists(self):
+        return bool(self)
+
+    def get(self):
+        return iter(list(self))
+
+    def put(self, rows):
+        self[:] = rows
+
+    def appendList(self, rows):  # noqa: N802
+        self.extend(rows)
+
+
+class Handle:
+    def __init__(self):
+        self.timers = set()
+
+    def getListState(self, name, schema):  # noqa: N802
+        return Listed()
+
+    def registerTimer(self, ms):  # noqa: N802
+        self.timers.add(ms)
+
+
+class Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+
+def test_state_calls_do_not_grow_with_cards():
+    rng, start, most = random.Random(5), datetime(2024, 1, 1), {}
+    for cards in (3, 300):
+        rows = [(e, f"c{e % cards}", rng.choice(["click", "error"]), start + timedelta(minutes=rng.randrange(6_000)), 1.0) for e in range(1_200)]
+        found, handle, states = [], Handle(), None
+        Listed.calls = 0
+        for part, passed in ((rows[:5], 0), (rows[5:600], 0), (rows[600:], int(start.timestamp()) * 1_000 + 10**9)):
+            processor = CardVelocity(True, velocity.FEATURES)  # each micro-batch has its own
+            processor.init(handle)
+            states = states or [processor.totals, processor.waiting, processor.minutes, processor.merchants]
+            processor.totals, processor.waiting, processor.minutes, processor.merchants = states
+            frame = pd.DataFrame([(r[1], int(r[3].timestamp()) * 10**6, str(r[0]), r[2], 10**6, int(r[2] == "error")) for r in part])
+            frame.columns = ["card", "t", "id", "merchant", "amount", "failed"]
+            assert not list(processor.handleInputRows((0,), iter([frame]), None))
+            found += [f for _ in range(2) for f in processor.handleExpiredTimer((0,), Watermark(passed), None)]
+        most[cards] = Listed.calls
+        got = plain({**r, "event_id": int(r["id"])} for f in found for r in f.astype(object).where(f.notna(), None).to_dict("records"))
+        assert got == brute_velocity(rows)
+        assert [len(s) for s in states] == [cards, 0, 0, 0]
+    assert most[300] == most[3] <= 40
