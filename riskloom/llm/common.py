@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from riskloom.session import ensure_checkpoint_dir, ship_package, work_dir
+from riskloom.session import discard, ensure_checkpoint_dir, ship_package, work_dir  # noqa: F401 (discard is used through here)
 
 #: Rows of an Arrow batch; texts are worked through in blocks of BLOCK_BYTES whatever a batch holds.
 BATCH_ROWS = 1000
@@ -45,12 +45,6 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a working folder that nothing reads any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def blanks_to_spaces(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), BLANKS, " " * len(BLANKS))
 

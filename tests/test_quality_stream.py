@@ -37,3 +37,18 @@ def test_late_missing_and_repeated_alerts_and_the_state(spark):
     assert {k: v for k, v in got.items() if k} == {k: (v is not None, v or 0.0) for k, v in want.items()}
     held = [sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in query.recentProgress]
     assert held[-1] <= 3 < max(held)  # the two closing rows are left
+
+
+def test_arriving_rows_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        seen.add(1)
+        return value
+
+    rows = spark.range(500).select(F.udf(counted, "long")("id").alias("id"), F.timestamp_seconds(F.col("id") * 60).alias("ts"))
+    folder = work_dir(spark, "test-once")
+    schema = fx.arrivals(spark, rows, folder, batches=3)
+    written = spark.read.schema(schema).parquet(folder)
+    assert written.count() == 501 and written.filter("id is not null").distinct().count() == 500
+    assert seen.value == 500
