@@ -25,8 +25,11 @@ from pyspark.sql.types import StructType
 
 from riskloom.session import ship_package
 
-#: Rows that one task reads at most.
+#: Rows that one task reads at most, and rows that it holds at a time.
 TASK_ROWS = 100_000
+HELD_ROWS = 4_096
+#: Bytes of a column that are read at a time.
+BUFFER_BYTES = 1 << 20
 
 
 def _filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -71,12 +74,14 @@ class ReplayReader(DataSourceStreamReader):
 
     def read(self, partition: Rows) -> Iterator[pa.RecordBatch]:
         system, _ = _filesystem(self.folder)
-        file, at = pq.ParquetFile(partition.file, filesystem=system), 0
+        file, at = pq.ParquetFile(partition.file, filesystem=system, buffer_size=BUFFER_BYTES, pre_buffer=False), 0
         for group in range(file.metadata.num_row_groups):
             n = file.metadata.row_group(group).num_rows
             if at < partition.last and at + n > partition.first:
                 begin = at
-                for batch in file.iter_batches(row_groups=[group], columns=self.columns):
+                for batch in file.iter_batches(HELD_ROWS, row_groups=[group], columns=self.columns, use_threads=False):
+                    if begin >= partition.last:
+                        break
                     low, high = max(partition.first - begin, 0), min(partition.last - begin, batch.num_rows)
                     if high > low:
                         yield batch.slice(low, high - low)

@@ -76,3 +76,14 @@ def test_failed_commit_and_restart(spark, stored):
     assert found.count() == 3_000 and found.select("id").distinct().count() == 3_000
     assert found.filter(F.col("name") != F.concat(F.lit("é"), F.col("id"))).isEmpty()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) >= 1
+
+
+def test_a_task_holds_a_few_thousand_rows_at_a_time(spark):
+    """Whatever the size of a row group, and nothing is read past the task's last row."""
+    folder = work_dir(spark, "test-wide")
+    spark.range(30_000).select(F.col("id"), F.sha2(F.col("id").cast("string"), 512).alias("text")).coalesce(1).write.parquet(folder)
+    reader = replay.ReplayReader(folder, 1e9, 0.0, ["id", "text"])
+    for low, high in ((0, 30_000), (9_000, 19_001), (29_999, 30_000)):
+        batches = [b for p in reader.partitions({"row": low}, {"row": high}) for b in reader.read(p)]
+        assert [i for b in batches for i in b.column(0).to_pylist()] == list(range(low, high))
+        assert max(b.num_rows for b in batches) <= 5_000
