@@ -206,3 +206,11 @@ def test_patience_keeps_the_best_round(spark):
     assert both.filter(F.abs(F.col("cut") - F.col("plain")) > 1e-9).isEmpty()
     whole = learn.fit_patiently(rows, slot, "held", 50, maxIter=4, maxDepth=2)
     assert whole.fitted == 4 and whole.model.getNumTrees == whole.best <= 4
+
+
+def test_jobs_read_the_split_profile_from_one_folder(spark, sf_dir):
+    """Not from the tables behind it, which every pass over the rows would join again."""
+    parts = job_queries._parts(spark, sf_dir)
+    assert all("/split-profile-" in f for part in parts for f in part.inputFiles())
+    assert sum(part.count() for part in parts) == fx.credit_profile(spark, sf_dir).count()
+    assert parts[0].unionByName(parts[1]).exceptAll(fx.credit_profile(spark, sf_dir)).isEmpty()
