@@ -5,7 +5,7 @@ bucketed by piece and sorted by position, and merge-joined with itself: an occur
 position's occurrence overlap in all but their outer words, so together they are an occurrence one
 word longer. Grouped counts keep the frequent phrases, and a semi-join with those trims the relation
 before it is extended again. Buckets and join keys agree, so extending shuffles nothing; what is
-shuffled is the occurrences of frequent words, once, and counts that tasks have added up before.
+shuffled is the texts, once, before they are taken apart, and counts that tasks have added up before.
 """
 
 from __future__ import annotations
@@ -31,41 +31,57 @@ BROADCAST_ROWS = 500_000
 #: Occurrences that a bucket holds at most, in the mean.
 BUCKET_ROWS = 20_000_000
 
-# Upper-case letters and what they become; tab is a blank; the marks and line ends that end a piece.
+# Upper-case letters and what they become; the marks and line ends that end a piece.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ENDS = ".,;:!?\x0b\x0c\r"
+ENDS = "[.,;:!?\\x0A-\\x0D]"
 
 
 def tokens(text: Column) -> Column:
-    """The words of a text in order, with a line feed standing between two pieces."""
-    plain = F.translate(F.coalesce(text, F.lit("")), UPPER + "\t" + ENDS, LOWER + " " + "\n" * len(ENDS))
-    return F.filter(F.split(F.replace(plain, F.lit("\n"), F.lit(" \n ")), " "), lambda w: w != "")
+    """The words of a text in order, as they are spelled, with a line feed standing between two pieces."""
+    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), ENDS, " \n ")
+    return F.array_remove(F.split(F.replace(spaced, F.lit("\t"), F.lit(" ")), " "), "")
 
 
-def word_occurrences(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, row, pos, word): adjacent words of a piece have adjacent positions, others never.
+def lowered(word: Column) -> Column:
+    return F.translate(word, UPPER, LOWER)
+
+
+def numbered_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, row, text): ``row`` tells texts apart, also those that repeat or have no id.
 
-    ``row`` tells texts apart, also those that repeat or have no id. It follows the order in which a
-    table's files are read, which stays the same when a task is repeated.
+    It follows the order in which a table's files are read, which stays the same when a task is repeated.
     """
-    rows = docs.select(
+    return docs.select(
         F.coalesce(F.col(lang), F.lit("und")).alias("lang"),
         F.monotonically_increasing_id().alias("row"),
-        tokens(F.col(text)).alias("words"),
+        F.col(text).alias("text"),
     )
-    return rows.select("lang", "row", F.posexplode("words").alias("pos", "word")).filter(F.col("word") != "\n")
+
+
+def words_of(texts: DataFrame) -> DataFrame:
+    """(lang, row, pos, word) of numbered texts: adjacent words of a piece have adjacent positions, others never.
+
+    Words are as they are spelled: a spelling is lowered once where it is counted, not wherever it occurs.
+    """
+    return texts.select("lang", "row", F.posexplode(tokens(F.col("text"))).alias("pos", "word")).filter(F.col("word") != "\n")
+
+
+def word_occurrences(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    return words_of(numbered_texts(docs, text, lang))
 
 
 @contextmanager
 def _buckets_serve_joins(spark: SparkSession) -> Iterator[None]:
-    """Let tables bucketed by one of several join keys be joined as they lie."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    """Let tables bucketed by one of several join keys be joined as they lie, in the order they have if it is known."""
+    settings = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
+    before = {name: spark.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 class Occurrences:
@@ -106,9 +122,11 @@ def frequent_phrases(
     the phrases without its last and without its first word.
     """
     spark = docs.sparkSession
-    words = word_occurrences(docs, text, lang)
-    counts = kept(words.groupBy("lang", "word").agg(F.count("*").alias("f")), "word-counts")
-    totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
+    texts = numbered_texts(docs, text, lang)
+    spelled = words_of(texts).groupBy("lang", "word").agg(F.count("*").alias("f"))
+    spellings = kept(spelled.withColumn("lower", lowered(F.col("word"))), "spellings")
+    counts = spellings.groupBy("lang", F.col("lower").alias("word")).agg(F.sum("f").alias("f"))
+    totals = kept(spellings.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     single = F.array(F.col("f"))
     first = counts.filter(F.col("f") >= least).select(
         F.monotonically_increasing_id().alias("id"), "lang", F.array("word").alias("words"), "f", single.alias("heads"), single.alias("tails")
@@ -116,9 +134,12 @@ def frequent_phrases(
     found = [kept(first, "phrases-1")]
     total = found[0].agg(F.coalesce(F.sum("f"), F.lit(0)).alias("n")).head()["n"]
     buckets = max(shuffle_partitions(spark), -(-total // BUCKET_ROWS))
-    known = found[0].select("lang", F.col("words")[0].alias("word"), "id")
+    often = found[0].select("lang", F.col("words")[0].alias("lower"), "id")
+    known = spellings.join(_fitting(often), ["lang", "lower"]).select("lang", "word", "id")
     with _buckets_serve_joins(spark):
-        held = Occurrences(spark, words.join(_fitting(known), ["lang", "word"]).select("row", "pos", "id"), buckets)
+        # Texts are dealt to the buckets whole: a row per text is moved, not one per word.
+        dealt = words_of(texts.repartition(buckets, "row"))
+        held = Occurrences(spark, dealt.join(_fitting(known), ["lang", "word"]).select("row", "pos", "id"), buckets)
         for size in range(2, longest + 1):
             pairs = held.neighbours()
             often = kept(pairs.groupBy("left", "right").agg(F.count("*").alias("f")).filter(F.col("f") >= least), "pairs")

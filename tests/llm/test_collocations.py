@@ -95,5 +95,27 @@ def test_extending_shuffles_nothing(spark, rows):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_texts_are_moved_not_words(spark, rows):
+    """Words are taken out of texts that lie in the buckets already, and an occurrence is sorted for one side of a join only."""
+    buckets = shuffle_partitions(spark) + 3
+    words = collocations.words_of(collocations.numbered_texts(rows).repartition(buckets, "row"))
+    laid = words.select("row", "pos", F.hash("word").alias("id")).repartition(buckets, "row")
+    lines = laid._jdf.queryExecution().executedPlan().toString().splitlines()
+    taken, moved = (next(i for i, line in enumerate(lines) if name in line) for name in ("Generate", "Exchange"))
+    assert taken < moved and sum("Exchange" in line for line in lines) == 1  # the plan is printed from its end
+    with collocations._buckets_serve_joins(spark):
+        held = collocations.Occurrences(spark, laid, buckets)
+        plan = held.neighbours()._jdf.queryExecution().executedPlan().toString()
+        held.drop()
+    assert plan.count("Sort [") == 1
+
+
+def test_spellings_of_a_word_are_one(spark):
+    texts = [("en", "Ab aB\tAB;ab\x0bAb É é É"), ("de", "É Ab"), (None, "aB ab"), ("en", "$1 \\ $1 \\ $1")]
+    frame = spark.createDataFrame(texts, "lang string, text string")
+    found = collocations.collocations(frame, least=1).collect()
+    assert sorted(map(tuple, found)) == by_hand(texts, 1, 5, 2000)
+
+
 def test_matches_sql(spark, sf_dir):
     assert oracle.compare(collocations.query(spark, sf_dir), oracle.connect(sf_dir), collocations.sql()) is None
