@@ -208,6 +208,21 @@ def test_patience_keeps_the_best_round(spark):
     assert whole.fitted == 4 and whole.model.getNumTrees == whole.best <= 4
 
 
+def test_few_rows_are_kept_in_few_partitions(spark):
+    """A fit passes over its rows many times, with a task per partition and tree level."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning")
+    before = [spark.conf.get(name) for name in names]
+    spark.conf.set(names[0], "150")
+    try:
+        kept = learn.evenly_kept(spark.range(20_000).groupBy((F.col("id") % 5_000).alias("id")).agg(F.count("*").alias("n")))
+        assert spark.conf.get(names[1]) == before[1]
+        assert kept.agg(F.sum("n")).head()[0] == 20_000
+        assert kept.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism < 150
+        kept.unpersist()
+    finally:
+        spark.conf.set(names[0], before[0])
+
+
 def test_jobs_read_the_split_profile_from_one_folder(spark, sf_dir):
     """Not from the tables behind it, which every pass over the rows would join again."""
     parts = job_queries._parts(spark, sf_dir)
